@@ -39,7 +39,7 @@ POSIX_CLASSES = {
 def java_pattern(column: Column | str) -> Column:
     """Rewrite a PostgreSQL pattern column to the Java syntax `rlike` expects."""
     out = F.col(column) if isinstance(column, str) else column
-    out = F.regexp_replace(out, r"(?<!\\)\\[mMy]", r"\\\\b")
+    out = F.regexp_replace(out, r"(?<!\\)\\[mMy]", r"\\b")
     for name, java in POSIX_CLASSES.items():
         out = F.replace(out, F.lit(f"[:{name}:]"), F.lit(java))
     return F.concat(F.lit("(?isu)"), out)

@@ -8,51 +8,33 @@ with hi > lo.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from cardspark.operators.lookup import HOT_ROWS, lookup
-from cardspark.session import written
+from cardspark.operators.lookup import HOT_ROWS, match
+from cardspark.session import written_with_metrics
 
 MAX_ROUNDS = 100
 
 
-def _oriented(a: str, b: str) -> list:
-    return [F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")]
-
-
-def _large_star(edges: DataFrame, hot_rows: int) -> DataFrame:
-    """Link every larger neighbour of a node to the smallest node it can see."""
+def _large_star(edges: DataFrame, hot_rows: int, total: int) -> DataFrame:
+    """(hi, lo, u): every larger neighbour hi of u linked to the smallest node u can see."""
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     smallest = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(
         "u", F.least("u", "m").alias("m"), "n"
     )
-    up = both.filter(F.col("v") > F.col("u"))
-    return lookup(up, smallest, ["u"], "n", hot_rows).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-
-
-def _small_star(edges: DataFrame, hot_rows: int) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
-    smallest = edges.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
-    moved = lookup(edges, smallest, ["hi"], "n", hot_rows).filter(F.col("lo") > F.col("m"))
-    return (
-        moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        .unionByName(smallest.select("hi", F.col("m").alias("lo")))
-        .distinct()
+    up = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+    return match(up, smallest, "u", "n", hot_rows, 2 * total).select(
+        F.col("v").alias("hi"), F.col("m").alias("lo"), "u"
     )
 
 
-def _is_star_forest(edges: DataFrame) -> bool:
-    """Every node has one smaller neighbour at most, and that one has none."""
-    roles = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-        edges.select(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
-    )
-    unsettled = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
-        (F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))
-    )
-    return unsettled.isEmpty()
+def _small_star(edges: DataFrame, hot_rows: int, total: int) -> DataFrame:
+    """(hi, lo, m): an edge with the smallest of the smaller neighbours of hi."""
+    smallest = edges.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
+    return match(edges.select("hi", "lo"), smallest, "hi", "n", hot_rows, total)
 
 
 def components(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -60,10 +42,34 @@ def components(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     A node that is missing from the result is the smallest of its component.
     `edges` has columns hi > lo; the component id is the smallest node.
+
+    A round that links nothing anew has found every lower end to be the
+    smallest node it sees and every node to have one smaller neighbour: the
+    components are stars. The counters that tell so are observed while the
+    round is written, without another job.
     """
-    edges = written(edges.distinct(), "edges")
+    size = Observation()
+    edges, found = written_with_metrics(edges.distinct().observe(size, F.count("*").alias("edges")), "edges", size)
     for _ in range(MAX_ROUNDS):
-        if _is_star_forest(edges):
-            return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-        edges = written(_small_star(_large_star(edges, hot_rows).distinct(), hot_rows), "edges")
-    raise RuntimeError("components did not settle")
+        if found["edges"] == 0:
+            break
+        large, small = Observation(), Observation()
+        wide = _large_star(edges, hot_rows, found["edges"]).observe(
+            large, F.count_if(F.col("lo") < F.col("u")).alias("relinked")
+        )
+        near = _small_star(wide, hot_rows, found["edges"]).observe(
+            small, F.count_if(F.col("lo") > F.col("m")).alias("relinked")
+        )
+        pairs = F.array(
+            F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        )
+        after = Observation()
+        linked = near.select(F.explode(pairs).alias("e")).select("e.hi", "e.lo").filter(F.col("hi") > F.col("lo"))
+        edges, found = written_with_metrics(
+            linked.distinct().observe(after, F.count("*").alias("edges")), "edges", after
+        )
+        if large.get["relinked"] + small.get["relinked"] == 0:
+            break
+    else:
+        raise RuntimeError("components did not settle")
+    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

@@ -12,9 +12,8 @@ from cardspark.functions.text import normalize_phone, person_key
 from cardspark.functions.values import matches
 from cardspark.operators.clean import IdentityRules, eligible_cards, normalize_identity, quality_flags
 from cardspark.operators.components import components
-from cardspark.operators.lookup import HOT_ROWS, lookup
+from cardspark.operators.lookup import HOT_ROWS, lookup, match
 from cardspark.operators.numbering import number_rows
-from cardspark.session import written
 
 CARD = "CardHolderID"
 BASE = [CARD, "NoMobile", "Email", "FirstName", "LastName", "BirthDate", "PostCode", "Address1", "Address2",
@@ -87,14 +86,14 @@ def _by_key(df: DataFrame, table: DataFrame, key: str, hot_rows: int) -> DataFra
     return lookup(df, carried.join(table, key, "left"), [key], "__carried", hot_rows)
 
 
-def _links(rows: DataFrame, key: str, good: str | None, hot_rows: int) -> DataFrame:
+def _links(rows: DataFrame, key: str, good: str | None, hot_rows: int, total: int) -> DataFrame:
     """Edges from each row to the smallest row with the same key."""
     usable = rows.filter(F.col(key).isNotNull() if good is None else F.col(key).isNotNull() & (F.col(good) == 1))
     if key == "Email":
         usable = usable.filter(F.col(key) != "")
     usable = usable.select(key, "__row")
     groups = usable.groupBy(key).agg(F.min("__row").alias("__first"), F.count("*").alias("__n"))
-    joined = lookup(usable, groups.filter(F.col("__n") > 1), [key], "__n", hot_rows)
+    joined = match(usable, groups.filter(F.col("__n") > 1), key, "__n", hot_rows, total)
     return joined.filter(F.col("__row") > F.col("__first")).select(
         F.col("__row").alias("hi"), F.col("__first").alias("lo")
     )
@@ -102,15 +101,15 @@ def _links(rows: DataFrame, key: str, good: str | None, hot_rows: int) -> DataFr
 
 def _components(contacts: DataFrame, hot_rows: int) -> DataFrame:
     """Contacts with `__row` (rank) and `__root` (smallest rank of their component)."""
-    rows = written(number_rows(contacts, CONTACT, "__row"), "contacts")
+    rows = number_rows(contacts, CONTACT, "__row")
+    total = rows.count()
     edges = (
-        _links(rows, "NoMobile", None, hot_rows)
-        .unionByName(_links(rows, "Email", "GoodEmail", hot_rows))
-        .unionByName(_links(rows, "combinaison", "GoodCombinaison", hot_rows))
+        _links(rows, "NoMobile", None, hot_rows, total)
+        .unionByName(_links(rows, "Email", "GoodEmail", hot_rows, total))
+        .unionByName(_links(rows, "combinaison", "GoodCombinaison", hot_rows, total))
     )
     roots = components(edges, hot_rows).select(F.col("node").alias("__row"), F.col("component").alias("__root"))
-    joined = rows.join(roots, "__row", "left").withColumn("__root", F.coalesce("__root", "__row"))
-    return written(joined, "rooted")
+    return rows.join(roots, "__row", "left").withColumn("__root", F.coalesce("__root", "__row"))
 
 
 def dense_ids(roots: DataFrame, last_id: int = 0, root: str = "__root") -> DataFrame:

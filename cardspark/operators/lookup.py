@@ -68,3 +68,20 @@ def lookup(
         *[first[f"`{c}`"] for c in facts.columns],
         *[F.coalesce(F.col(f"__hot.`{v}`"), F.col(f"__cold.`{v}`")).alias(v) for v in values],
     )
+
+
+def match(rows: DataFrame, table: DataFrame, key: str, count: str, hot_rows: int = HOT_ROWS,
+          total: int | None = None) -> DataFrame:
+    """Inner join with a table that has one row per key, for rows that are cheap to read twice.
+
+    Keys above `hot_rows` take a broadcast path and never enter the shuffle, so
+    the other path can reuse the partitioning of the aggregation that built the
+    table. When `total`, the number of rows, does not exceed `hot_rows`, no key
+    can be hot and only the second path is planned.
+    """
+    if total is not None and total <= hot_rows:
+        return rows.join(table.drop(count), key)
+    hot = F.broadcast(table.filter(F.col(count) > hot_rows).drop(count))
+    cold = table.filter(F.col(count) <= hot_rows).drop(count)
+    others = rows.join(hot.select(key), key, "left_anti").join(cold, key)
+    return rows.join(hot, key).unionByName(others)

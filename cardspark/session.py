@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str | int = 8, memory: str = "12g", app: str = "cardspark") -> SparkSession:
@@ -48,6 +48,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written_with_metrics(df: DataFrame, label: str, watch: Observation) -> tuple[DataFrame, dict]:
+    """Like `written`, for a frame observed by `watch`; returns its metrics too."""
+    out = written(df, label)
+    return out, watch.get
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
