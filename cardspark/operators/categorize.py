@@ -58,15 +58,14 @@ def _category(rule: Column) -> Column:
     return F.when(rule.isNotNull(), F.struct(rule["__u"].alias("__u"), rule["__s"].alias("__s")))
 
 
-def _with_code_category(pairs: DataFrame, rules: Rules, notes: Sequence[int]) -> DataFrame:
-    return pairs.join(small(mcc_rules(rules, notes)), "MCC", "left")
+def code_rules(rules: Rules, notes: Sequence[int], suffix: str = "") -> DataFrame:
+    """Everything a merchant code decides in one row: its category and its override rules."""
+    both = mcc_rules(rules, notes).join(override_rules(rules, notes), "MCC", "full")
+    return both.select("MCC", F.col("__category").alias(f"__c{suffix}"), F.col("__rules").alias(f"__r{suffix}"))
 
 
-def _with_override(pairs: DataFrame, rules: Rules, notes: Sequence[int]) -> DataFrame:
-    """Adds `__category` of the last matching rule."""
-    joined = pairs.join(small(override_rules(rules, notes)), "MCC", "left")
-    last = F.try_element_at(_hits(F.col("__rules")), F.lit(-1))
-    return joined.withColumn("__category", _category(last)).drop("__rules")
+def _last_hit(rules: str) -> Column:
+    return _category(F.try_element_at(_hits(F.col(rules)), F.lit(-1)))
 
 
 def _fill_passes(rules: Rules) -> list[DataFrame]:
@@ -124,13 +123,14 @@ def _uncategorised() -> Column:
 
 def categorize_mcc(tx: DataFrame, rules: Rules, notes: Sequence[int] = FIRST_NOTES) -> DataFrame:
     """Category of the merchant code; a code without one keeps what was there."""
-    joined = _with_code_category(tx, rules, notes)
+    joined = tx.join(small(mcc_rules(rules, notes)), "MCC", "left")
     return _assign(joined, F.col("__category")).select(*tx.columns)
 
 
 def categorize_override(tx: DataFrame, rules: Rules, notes: Sequence[int] = FIRST_NOTES) -> DataFrame:
     """Rules on (MCC, merchant name); the last matching one replaces the category."""
-    joined = _back(tx, _with_override(_pairs(tx), rules, notes))
+    pairs = _pairs(tx).join(small(override_rules(rules, notes)), "MCC", "left")
+    joined = _back(tx, pairs.withColumn("__category", _last_hit("__rules")))
     return _assign(joined, F.col("__category")).select(*tx.columns)
 
 
@@ -144,17 +144,14 @@ def categorize_fill(tx: DataFrame, rules: Rules) -> DataFrame:
 def categorize(tx: DataFrame, rules: Rules) -> DataFrame:
     """All five passes, computed once per distinct pair.
 
-    Code and override passes 1 and 2 decide first, each later one replacing the
-    earlier; the fill rules apply to pairs none of them reached.
+    Each pass of codes and override rules replaces what an earlier one set, so
+    the last one that decides counts; the fill rules apply where none did.
     """
-    pairs = _pairs(tx)
-    decided: Column = F.lit(None).cast("struct<__u:string,__s:string>")
-    for notes in (FIRST_NOTES, SECOND_NOTES):
-        for step in (_with_code_category, _with_override):
-            pairs = step(pairs.withColumn("__decided", decided), rules, notes)
-            pairs = pairs.withColumn("__decided", F.coalesce("__category", "__decided")).drop("__category")
-            decided = F.col("__decided")
-    pairs = _with_fill(pairs, rules).withColumn("__category", F.struct("__decided", F.col("__category").alias("__filled")))
+    by_code = code_rules(rules, FIRST_NOTES, "1").join(code_rules(rules, SECOND_NOTES, "2"), "MCC", "full")
+    pairs = _pairs(tx).join(small(by_code), "MCC", "left")
+    decided = F.coalesce(_last_hit("__r2"), F.col("__c2"), _last_hit("__r1"), F.col("__c1"))
+    pairs = _with_fill(pairs.withColumn("__decided", decided), rules)
+    pairs = pairs.withColumn("__category", F.struct("__decided", F.col("__category").alias("__filled")))
     joined = _back(tx, pairs)
     done = _assign(joined, F.col("__category.__decided"))
     return _assign(done, F.col("__category.__filled"), _uncategorised()).select(*tx.columns)

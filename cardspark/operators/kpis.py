@@ -15,8 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardspark.functions.dates import Period, months_before, partitions, timestamp
-from cardspark.functions.values import money, ratio
+from cardspark.functions.dates import Period, period
+from cardspark.functions.values import ratio
 from cardspark.operators.families import spending_other
 from cardspark.operators.lookup import small
 
@@ -36,20 +36,17 @@ INTERNATIONAL = {"atm": "IsInternational", "pos": "IsPOSInternational"}
 
 def _movements(family: str, df: DataFrame) -> DataFrame:
     """A family in the common shape the aggregations read."""
-    flag = INTERNATIONAL.get(family)
-    charged = F.col("IsFee") + F.col("IsReversal") == 0
-    counts = (F.col("DebitCredit") == "Debit") & charged if family == "other" else F.lit(True)
+    none = "CAST(NULL AS DECIMAL(18,2))"
     fee = family == "fees"
+    counts = "DebitCredit = 'Debit' AND IsReversal = 0 AND IsFee = 0" if family == "other" else "true"
     return df.select(
-        CARD,
+        CARD, "TransactionTime", "TransactionTP",
         F.lit(family).alias("family"),
-        "TransactionTime",
-        "TransactionTP",
-        (F.lit(None).cast("decimal(18,2)") if fee else money("Amount")).alias("amount"),
-        (money("Fee") if fee else F.lit(None).cast("decimal(18,2)")).alias("fee"),
-        (money("Surcharge") if fee else F.lit(None).cast("decimal(18,2)")).alias("surcharge"),
-        (F.col(flag) if flag else F.lit(0)).cast("int").alias("international"),
-        F.coalesce(counts, F.lit(False)).alias("counts"),
+        F.expr(none if fee else "CAST(Amount AS DECIMAL(18,2))").alias("amount"),
+        F.expr("CAST(Fee AS DECIMAL(18,2))" if fee else none).alias("fee"),
+        F.expr("CAST(Surcharge AS DECIMAL(18,2))" if fee else none).alias("surcharge"),
+        F.expr(f"CAST({INTERNATIONAL.get(family, '0')} AS INT)").alias("international"),
+        F.expr(f"coalesce({counts}, false)").alias("counts"),
     )
 
 
@@ -57,112 +54,108 @@ def _union(families: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_movements(f, d) for f, d in families.items()])
 
 
-def _measured(family: str, span: Period) -> Column:
-    """Rows of a family that enter its indicators for the period."""
-    return (F.col("family") == family) & span.holds() & (F.col("amount") >= 0) & F.col("counts")
+def _stamp(value: dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ '{value}'"
 
 
-def _family_aggregates(family: str, span: Period) -> list[Column]:
-    here = _measured(family, span)
-    one = [
-        F.count(F.when(here, 1)).alias(f"__n_{family}"),
-        F.sum(F.when(here, F.col("amount"))).alias(f"__s_{family}"),
-        F.min(F.when(here, F.col("amount"))).alias(f"__lo_{family}"),
-        F.max(F.when(here, F.col("amount"))).alias(f"__hi_{family}"),
-        F.max(F.when(here, F.col("TransactionTime"))).alias(f"__t_{family}"),
-    ]
-    if family in INTERNATIONAL:
-        one.append(F.sum(F.when(here, F.col("international"))).alias(f"__i_{family}"))
-    return one
-
-
-def _family_columns(family: str, as_of: dt.datetime) -> list[Column]:
-    n, s, t = F.col(f"__n_{family}"), F.col(f"__s_{family}"), F.col(f"__t_{family}")
-    out = [
-        ratio(s, n).alias(f"avg_daily_amount_{family}"),
-        n.alias(f"frequency_{family}"),
-        F.col(f"__lo_{family}").cast("double").alias(f"min_amount_{family}"),
-        F.col(f"__hi_{family}").cast("double").alias(f"max_amount_{family}"),
-        s.cast("double").alias(f"sum_amount_{family}"),
-        F.timestamp_diff("DAY", t, timestamp(as_of)).alias(f"recence_{family}"),
-        t.alias(LAST_TIME[family]),
-    ]
-    if family in INTERNATIONAL:
-        i = F.col(f"__i_{family}")
-        out += [i.alias(f"international_frequency_{family}"), ratio(i, n).alias(f"international_{family}_part")]
-    return out
+def _inside(span: Period) -> str:
+    return f"TransactionTime >= {_stamp(span.start)} AND TransactionTime < {_stamp(span.end)}"
+
+
+def _since(span: Period, months: int) -> str:
+    """From n months before the last day of the period, clamped in a shorter month."""
+    return f"TransactionTime >= {_stamp(span.last_day)} - INTERVAL '{months}' MONTH"
 
 
-def _month_masks(family: str, span: Period) -> tuple[list[Column], int]:
+def _words(span: Period) -> int:
+    return (len(span.month_list()) - 1) // _MASK_BITS + 1
+
+
+def _flagged(moves: DataFrame, span: Period, families: list[str], windows: tuple[int, ...] = ()) -> DataFrame:
+    """Evaluate every condition once per row, so that the aggregates only test flags.
+
+    `in_<family>` marks the rows of a family that enter its indicators, `since_<n>`
+    the look-back windows, `month_<w>` the bit of the month in mask word w.
+    """
+    columns = {f"in_{f}": F.expr(f"family = '{f}' AND counts AND amount >= 0 AND {_inside(span)}") for f in families}
+    columns |= {f"since_{n}": F.expr(_since(span, n)) for n in windows}
     first = span.start.year * 12 + span.start.month
-    index = F.year("TransactionTime") * 12 + F.month("TransactionTime") - first
-    words = (len(span.month_list()) - 1) // _MASK_BITS + 1
-    here = _measured(family, span)
-    masks = [
-        F.bit_or(
-            F.when(
-                here & (index >= w * _MASK_BITS) & (index < (w + 1) * _MASK_BITS),
-                F.call_function("shiftleft", F.lit(1).cast("long"), index - w * _MASK_BITS),
-            )
-        ).alias(f"__m{w}_{family}")
-        for w in range(words)
-    ]
-    return masks, words
+    for w in range(_words(span)):
+        index = f"(year(TransactionTime) * 12 + month(TransactionTime) - {first + w * _MASK_BITS})"
+        columns[f"month_{w}"] = F.expr(f"CASE WHEN {index} BETWEEN 0 AND {_MASK_BITS - 1} THEN shiftleft(1L, {index}) ELSE 0L END")
+    return moves.withColumns(columns)
 
 
-def _month_columns(family: str, words: int) -> list[Column]:
-    months = reduce(
-        lambda a, b: a + b,
-        [F.bit_count(F.coalesce(F.col(f"__m{w}_{family}"), F.lit(0).cast("long"))) for w in range(words)],
-    )
-    return [
-        months.cast("long").alias(f"num_month_{family}"),
-        ratio(F.col(f"__s_{family}"), months).alias(f"monthly_avg_amount_{family}"),
-        ratio(F.col(f"__n_{family}"), months).alias(f"monthly_average_frequency_{family}"),
-    ]
+def _family_aggregates(family: str) -> list[Column]:
+    parts = {"n": "count(1)", "s": "sum(amount)", "lo": "min(amount)", "hi": "max(amount)", "t": "max(TransactionTime)"}
+    if family in INTERNATIONAL:
+        parts["i"] = "sum(international)"
+    return [F.expr(f"{agg} FILTER (WHERE in_{family})").alias(f"__{k}_{family}") for k, agg in parts.items()]
 
 
-def _revenue_aggregates(span: Period | None) -> list[Column]:
-    here = F.col("family") == "fees"
-    if span is not None:
-        here = here & span.holds()
-    return [
-        F.sum(F.when(here, F.col("fee"))).alias("__fee"),
-        F.sum(F.when(here, F.col("surcharge"))).alias("__surcharge"),
-        F.max(F.when(here, F.col("TransactionTime"))).alias("__t_fees"),
-        F.count(F.when(here, 1)).alias("__n_fees"),
-    ]
+def _share(a: str, b: str) -> str:
+    return f"coalesce(try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 0D)"
+
+
+def _family_columns(f: str, as_of: dt.datetime) -> list[Column]:
+    out = {
+        f"avg_daily_amount_{f}": _share(f"__s_{f}", f"__n_{f}"),
+        f"frequency_{f}": f"__n_{f}",
+        f"min_amount_{f}": f"CAST(__lo_{f} AS DOUBLE)",
+        f"max_amount_{f}": f"CAST(__hi_{f} AS DOUBLE)",
+        f"sum_amount_{f}": f"CAST(__s_{f} AS DOUBLE)",
+        f"recence_{f}": f"timestampdiff(DAY, __t_{f}, {_stamp(as_of)})",
+        LAST_TIME[f]: f"__t_{f}",
+    }
+    if f in INTERNATIONAL:
+        out[f"international_frequency_{f}"] = f"__i_{f}"
+        out[f"international_{f}_part"] = _share(f"__i_{f}", f"__n_{f}")
+    return [F.expr(e).alias(n) for n, e in out.items()]
+
 
+def _month_masks(family: str, span: Period) -> list[Column]:
+    return [F.expr(f"bit_or(month_{w}) FILTER (WHERE in_{family})").alias(f"__m{w}_{family}") for w in range(_words(span))]
 
-def _revenue_columns() -> list[Column]:
+
+def _month_columns(f: str, span: Period) -> list[Column]:
+    months = " + ".join(f"bit_count(coalesce(__m{w}_{f}, 0L))" for w in range(_words(span)))
+    out = {
+        f"num_month_{f}": f"CAST({months} AS BIGINT)",
+        f"monthly_avg_amount_{f}": _share(f"__s_{f}", f"({months})"),
+        f"monthly_average_frequency_{f}": _share(f"__n_{f}", f"({months})"),
+    }
+    return [F.expr(e).alias(n) for n, e in out.items()]
+
+
+def _revenue_aggregates(span: Period) -> list[Column]:
+    where = f"FILTER (WHERE family = 'fees' AND {_inside(span)})"
     return [
-        (F.col("__fee") + F.col("__surcharge")).cast("double").alias("card_ca"),
-        F.col("__t_fees").alias("dernier_fees"),
+        F.expr(f"sum(fee) {where}").alias("__fee"),
+        F.expr(f"sum(surcharge) {where}").alias("__surcharge"),
+        F.expr(f"max(TransactionTime) {where}").alias("dernier_fees"),
     ]
 
 
-def _since(span: Period, months: int) -> Column:
-    return F.col("TransactionTime") >= months_before(span.last_day, months)
+def _revenue() -> Column:
+    return F.expr("CAST(__fee + __surcharge AS DOUBLE)").alias("card_ca")
 
 
-def _window_aggregates(span: Period, windows: tuple[int, ...], name: str, families: list[str]) -> list[Column]:
-    kind = F.col("family").isin(families) & (F.col("amount") >= 0) & F.col("counts")
+def _window_aggregates(windows: tuple[int, ...], name: str, families: list[str]) -> list[Column]:
+    kinds = ", ".join(f"'{f}'" for f in families)
+    where = f"family IN ({kinds}) AND counts AND amount >= 0"
     return [
-        F.sum(F.when(kind & _since(span, n), F.col("amount"))).cast("double").alias(f"{name}_{n}_months")
+        F.expr(f"CAST(sum(amount) FILTER (WHERE {where} AND since_{n}) AS DOUBLE)").alias(f"{name}_{n}_months")
         for n in windows
     ]
 
 
-def _type_aggregates(span: Period, windows: tuple[int, ...]) -> list[Column]:
-    out = []
-    for n in windows:
-        here = _since(span, n) & (F.col("family") != "fees") & F.col("amount").isNotNull()
-        out += [
-            F.count(F.when(here & (F.col("group_transactions") == label), 1)).alias(f"Nb_Transaction_{short}_{n}_M")
-            for short, label in TYPE_GROUPS.items()
-        ]
-        out.append(F.count(F.when(here & (F.col("IsVolontaire") == 1), 1)).alias(f"Nb_Transaction_Volontaire_{n}_M"))
-    return out
+def _type_aggregates(windows: tuple[int, ...]) -> list[Column]:
+    tests = {short: f"group_transactions = '{label}'" for short, label in TYPE_GROUPS.items()}
+    tests["Volontaire"] = "IsVolontaire = 1"
+    return [
+        F.expr(f"count(amount) FILTER (WHERE {test} AND since_{n})").alias(f"Nb_Transaction_{short}_{n}_M")
+        for n in windows for short, test in tests.items()
+    ]
 
 
 def _with_types(movements: DataFrame, types: DataFrame) -> DataFrame:
@@ -172,23 +165,22 @@ def _with_types(movements: DataFrame, types: DataFrame) -> DataFrame:
 
 def family_kpis(df: DataFrame, family: str, span: Period, as_of: dt.datetime) -> DataFrame:
     """Amount, count, recency and international share of one family per card."""
-    moves = _movements(family, df.filter(partitions(df, span))).filter(_measured(family, span))
-    return moves.groupBy(CARD).agg(*_family_aggregates(family, span)).select(CARD, *_family_columns(family, as_of))
+    moves = _flagged(_movements(family, period(df, span)), span, [family]).filter(f"in_{family}")
+    return moves.groupBy(CARD).agg(*_family_aggregates(family)).select(CARD, *_family_columns(family, as_of))
 
 
 def family_monthly_kpis(df: DataFrame, family: str, span: Period) -> DataFrame:
     """Active months and the monthly means of amount and count per card."""
-    moves = _movements(family, df.filter(partitions(df, span))).filter(_measured(family, span))
-    masks, words = _month_masks(family, span)
-    return moves.groupBy(CARD).agg(*_family_aggregates(family, span)[:2], *masks).select(
-        CARD, *_month_columns(family, words)
+    moves = _flagged(_movements(family, period(df, span)), span, [family]).filter(f"in_{family}")
+    return moves.groupBy(CARD).agg(*_family_aggregates(family)[:2], *_month_masks(family, span)).select(
+        CARD, *_month_columns(family, span)
     )
 
 
 def fee_kpis(fees: DataFrame, span: Period) -> DataFrame:
     """Revenue of a card and the time of its last fee."""
-    moves = _movements("fees", fees.filter(partitions(fees, span))).filter(span.holds())
-    return moves.groupBy(CARD).agg(*_revenue_aggregates(span)).select(CARD, *_revenue_columns())
+    moves = _movements("fees", period(fees, span))
+    return moves.groupBy(CARD).agg(*_revenue_aggregates(span)).select(CARD, _revenue(), "dernier_fees")
 
 
 def spend_mix(df: DataFrame) -> DataFrame:
@@ -203,14 +195,16 @@ def spend_last_months(
 ) -> DataFrame:
     """Spending since n months before the last day of the period, per card."""
     families = {"pos": pos, "other": spending_other(other), "atm": atm}
-    recent = _union(families).filter(_since(span, max(windows)) & (F.col("amount") >= 0))
-    return recent.groupBy(CARD).agg(*_window_aggregates(span, windows, "spendings", list(families)))
+    recent = _union(families).filter(_since(span, max(windows))).filter("amount >= 0")
+    return _flagged(recent, span, [], windows).groupBy(CARD).agg(
+        *_window_aggregates(windows, "spendings", list(families))
+    )
 
 
 def loads_last_months(loads: DataFrame, span: Period, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """Loads since n months before the last day of the period, per card."""
-    recent = _movements("load", loads).filter(_since(span, max(windows)) & (F.col("amount") >= 0))
-    return recent.groupBy(CARD).agg(*_window_aggregates(span, windows, "loads", ["load"]))
+    recent = _movements("load", loads).filter(_since(span, max(windows))).filter("amount >= 0")
+    return _flagged(recent, span, [], windows).groupBy(CARD).agg(*_window_aggregates(windows, "loads", ["load"]))
 
 
 def type_counts(
@@ -218,7 +212,8 @@ def type_counts(
 ) -> DataFrame:
     """Movements per group of the type dimension and look-back window, per card."""
     recent = _union(families).filter(_since(span, max(windows)))
-    return _with_types(recent, types).groupBy(CARD).agg(*_type_aggregates(span, windows))
+    flagged = _with_types(_flagged(recent, span, [], windows), types)
+    return flagged.groupBy(CARD).agg(*_type_aggregates(windows))
 
 
 def last_action(df: DataFrame) -> DataFrame:
@@ -253,27 +248,22 @@ def card_kpis(
     `families` maps pos, atm, other, load and fees to their tables.
     """
     kinds = ["atm", "load", "other", "pos"]
-    moves = _union(families)
-    moves = moves.filter(
-        span.holds() | (F.col("TransactionTime") >= months_before(span.last_day, max(windows)))
-    )
-    masks, words = [], 1
-    for f in kinds:
-        columns, words = _month_masks(f, span)
-        masks += columns
-    spend = _window_aggregates(span, windows, "spendings", ["pos", "other", "atm"])
-    load = _window_aggregates(span, windows, "loads", ["load"])
-    counts = _type_aggregates(span, windows)
-    wide = _with_types(moves, types).groupBy(CARD).agg(
-        *[a for f in kinds for a in _family_aggregates(f, span)],
-        *masks, *_revenue_aggregates(span), *spend, *load, *counts,
+    moves = _union(families).filter(f"({_inside(span)}) OR {_since(span, max(windows))}")
+    flagged = _with_types(_flagged(moves, span, kinds, windows), types)
+    wide = flagged.groupBy(CARD).agg(
+        *[a for f in kinds for a in _family_aggregates(f)],
+        *[m for f in kinds for m in _month_masks(f, span)],
+        *_revenue_aggregates(span),
+        *_window_aggregates(windows, "spendings", ["pos", "other", "atm"]),
+        *_window_aggregates(windows, "loads", ["load"]),
+        *_type_aggregates(windows),
     )
     passed = [c for c in wide.columns if c != CARD and not c.startswith("__")]
     table = wide.select(
         CARD,
         *[c for f in kinds for c in _family_columns(f, as_of)],
-        *[c for f in kinds for c in _month_columns(f, words)],
-        *_revenue_columns(),
+        *[c for f in kinds for c in _month_columns(f, span)],
+        _revenue(),
         *passed,
     )
     out = last_action(spend_mix(attach(cards, table)))

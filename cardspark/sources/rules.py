@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,13 @@ def rules_with_code(override: DataFrame, mcc_categories: DataFrame) -> DataFrame
     )
 
 
-def check_patterns(rules: DataFrame, column: str = "NEW_REGEX") -> None:
-    """Compile every pattern in a job over the rule table.
+def check_patterns(*rules: DataFrame, column: str = "NEW_REGEX") -> None:
+    """Compile every pattern in one job over the rule tables.
 
     An invalid one fails here with its text, before any transaction is read.
     """
-    rules.filter(F.rlike(F.lit(""), java_pattern(column))).count()
+    patterns = reduce(DataFrame.unionAll, [r.select(java_pattern(column).alias("p")) for r in rules])
+    patterns.filter(F.rlike(F.lit(""), F.col("p"))).count()
 
 
 def prepare_rules(
@@ -46,8 +48,7 @@ def prepare_rules(
     """Drop rule rows without a category, complete the codes and check the patterns."""
     override = rules_with_code(override.filter(F.col("UNIVERS").isNotNull()), mcc_categories)
     fill = fill.filter(F.col("UNIVERS").isNotNull())
-    check_patterns(override)
-    check_patterns(fill)
+    check_patterns(override, fill)
     return Rules(categories, mcc_link, mcc_categories, override, fill)
 
 

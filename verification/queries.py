@@ -57,23 +57,28 @@ def cards_next(spark: SparkSession, d: str) -> DataFrame:
     return fx.view(spark, d, fx.FX_CARDS_NEXT)
 
 
+def _inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A literal rule table, with the columns and types of `schema`."""
+    def one(v: object) -> str:
+        return "NULL" if v is None else repr(v) if isinstance(v, int) else "r'" + str(v) + "'"
+    names = [c.split()[0] for c in schema.split(", ")]
+    body = ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows)
+    out = spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+    return out.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")])
+
+
 def types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fx.TYPES, "TransactionTP string, group_transactions string, IsVolontaire int")
+    return _inline(spark, fx.TYPES, "TransactionTP string, group_transactions string, IsVolontaire int")
 
 
 def rules(spark: SparkSession) -> rule_tables.Rules:
     return rule_tables.prepare_rules(
-        spark.createDataFrame(
-            fx.CATEGORIES, "UNIVERS_DATABASE string, SOUS_UNIVERS_DATABASE string, UNIVERS string, SOUS_UNIVERS string"
-        ),
-        spark.createDataFrame(fx.MCC_LINK, "MCC_CODE string, MCC string"),
-        spark.createDataFrame(
-            fx.MCC_CATEGORIES, "MCC_NAME string, SOUS_UNIVERS string, UNIVERS string, MCC_CODE string, NOTE int"
-        ),
-        spark.createDataFrame(
-            fx.OVERRIDE, "MCC string, UNIVERS string, SOUS_UNIVERS string, NEW_REGEX string, rule_order int"
-        ),
-        spark.createDataFrame(fx.FILL, "UNIVERS string, SOUS_UNIVERS string, NEW_REGEX string, rule_order int"),
+        _inline(spark, fx.CATEGORIES,
+                "UNIVERS_DATABASE string, SOUS_UNIVERS_DATABASE string, UNIVERS string, SOUS_UNIVERS string"),
+        _inline(spark, fx.MCC_LINK, "MCC_CODE string, MCC string"),
+        _inline(spark, fx.MCC_CATEGORIES, "MCC_NAME string, SOUS_UNIVERS string, UNIVERS string, MCC_CODE string, NOTE int"),
+        _inline(spark, fx.OVERRIDE, "MCC string, UNIVERS string, SOUS_UNIVERS string, NEW_REGEX string, rule_order int"),
+        _inline(spark, fx.FILL, "UNIVERS string, SOUS_UNIVERS string, NEW_REGEX string, rule_order int"),
     )
 
 
