@@ -35,7 +35,7 @@ def contacts_of(base: DataFrame) -> DataFrame:
     return base.withColumn("combinaison", person_key()).select(*CONTACT).distinct()
 
 
-def _max_id(df: DataFrame, column: str) -> int:
+def max_id(df: DataFrame, column: str) -> int:
     top = df.agg(F.max(column)).first()[0]
     return int(top) if top is not None else 0
 
@@ -48,7 +48,7 @@ def assign_ids(existing: DataFrame | None, keys: DataFrame, key: str, name: str)
     if existing is None:
         return number_rows(keys, [key], name).select(name, *keys.columns)
     fresh = keys.join(existing.select(key), key, "left_anti").select(*keys.columns)
-    numbered = number_rows(fresh, [key], name, after=_max_id(existing, name))
+    numbered = number_rows(fresh, [key], name, after=max_id(existing, name))
     return existing.select(name, *keys.columns).unionByName(numbered.select(name, *keys.columns))
 
 
@@ -136,7 +136,7 @@ def resolve_incremental(
     """
     if "USER_ID" not in new.columns:
         new = new.withColumn("USER_ID", F.lit(None).cast("long"))
-    last_id = _max_id(known, "USER_ID") if last_id is None else last_id
+    last_id = max_id(known, "USER_ID") if last_id is None else last_id
     wanted = [*CONTACT, F.col("USER_ID").cast("long").alias("USER_ID")]
     everyone = known.select(*wanted).unionByName(new.select(*wanted)).filter(F.col("NoMobile").isNotNull())
     contacts = everyone.groupBy(*CONTACT).agg(F.min("USER_ID").alias("__known"))
