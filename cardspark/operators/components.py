@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardspark.operators.lookup import HOT_ROWS, match
-from cardspark.session import written_with_metrics
+from cardspark.session import written, written_with_metrics
 
 MAX_ROUNDS = 100
 
@@ -57,6 +57,9 @@ def components(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         wide = _large_star(edges, hot_rows, found["edges"]).observe(
             large, F.count_if(F.col("lo") < F.col("u")).alias("relinked")
         )
+        if 2 * found["edges"] > hot_rows:
+            # both steps split off hot nodes and read their input several times: keep the plan of each small
+            wide = written(wide, "large-star")
         near = _small_star(wide, hot_rows, found["edges"]).observe(
             small, F.count_if(F.col("lo") > F.col("m")).alias("relinked")
         )

@@ -38,7 +38,10 @@ def check_patterns(*rules: DataFrame, column: str = "NEW_REGEX") -> None:
 
     An invalid one fails here with its text, before any transaction is read.
     """
-    patterns = reduce(DataFrame.unionAll, [r.select(java_pattern(column).alias("p")) for r in rules])
+    named = F.col("UNIVERS").isNotNull()
+    patterns = reduce(
+        DataFrame.unionAll, [r.select(F.when(named, java_pattern(column)).alias("p")) for r in rules]
+    )
     patterns.filter(F.rlike(F.lit(""), F.col("p"))).count()
 
 

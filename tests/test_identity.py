@@ -59,11 +59,10 @@ def groups(df):
     return {frozenset(g) for g in out.values()}
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
-def test_groups_equal_union_find_in_any_order(spark, hot_rows):
-    rows = crowd(150, 3)
+def test_groups_equal_union_find_in_any_order(spark):
+    rows = crowd(120, 3)
     shuffled = random.Random(1).sample(rows, len(rows))
-    first = idn.resolve_users(base(spark, *rows), hot_rows=hot_rows)
+    first = idn.resolve_users(base(spark, *rows), hot_rows=25)
     second = idn.resolve_users(base(spark, *shuffled).repartition(5), hot_rows=hot_rows)
     assert groups(first) == brute(rows)
     assert values(first, *first.columns) == values(second, *second.columns)
@@ -72,7 +71,7 @@ def test_groups_equal_union_find_in_any_order(spark, hot_rows):
 def test_two_halves_group_like_one_run_and_known_ids_stay(spark):
     rows = crowd(120, 7)
     known = idn.resolve_users(base(spark, *rows[:60]))
-    both = idn.resolve_incremental(known, idn.contacts_of(base(spark, *rows[60:])), hot_rows=4)
+    both = idn.resolve_incremental(known, idn.contacts_of(base(spark, *rows[60:])))
     assert groups(both) == brute(rows)
     ids = {u for (u,) in values(both, "USER_ID")}
     top = max(u for (u,) in values(known, "USER_ID"))
