@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
     os.chdir(tmp_path_factory.mktemp("cwd"))
     session = local_session(4, "4g", "cardspark-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    session.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
     yield session
     session.stop()
 
