@@ -164,7 +164,7 @@ def test_last_override_and_first_fill_win(spark):
     pos = fam.pos(raw(spark, {"shop": "my shop"}, {"mcc": "B", "shop": "XY"}, {"mcc": "B", "shop": "y"}, {"mcc": None, "shop": None}, {"shop": None}))
     got = cat.categorize(pos, rules)
     assert values(got, "MCC", "MerchantName", "UNIVERS", "SOUS_UNIVERS") == [
-        (None, None, "", ""), ("A", None, "UA", "SA"), ("A", "my shop", "UB", "SB"), ("B", "XY", "UB", "SB"), ("B", "y", "UA", "SA")]
+        ("A", "my shop", "UB", "SB"), ("A", None, "UA", "SA"), ("B", "XY", "UB", "SB"), ("B", "y", "UA", "SA"), (None, None, "", "")]
     assert got.columns == pos.columns
 
 
