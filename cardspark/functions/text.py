@@ -40,7 +40,7 @@ def expiry_date(column: Column | str) -> Column:
     iso = F.concat(
         F.lit("20"), F.substring(text, 1, 2), F.lit("-"), F.substring(text, 3, 10), F.lit("-01")
     )
-    return F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
+    return iso.try_cast("timestamp_ntz")
 
 
 def long_date(column: Column | str) -> Column:

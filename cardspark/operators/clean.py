@@ -48,7 +48,7 @@ def transaction_file_day(file_name: Column) -> Column:
     iso = F.concat(F.lit("20"), F.substring(stamp, 5, 2), F.lit("-"), F.substring(stamp, 3, 2),
                    F.lit("-"), F.substring(stamp, 1, 2))
     ok = (F.size(part) == 3) & (F.length(stamp) == 6)
-    return F.when(ok, F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"))
+    return F.when(ok, iso.try_cast("date"))
 
 
 def clean_transactions(df: DataFrame, programs: dict[str, str] | None = None) -> DataFrame:
@@ -63,10 +63,9 @@ def clean_transactions(df: DataFrame, programs: dict[str, str] | None = None) ->
         F.col(f"`{c}`") if c == "FileSource" or t != "string" else without_quotes(F.col(f"`{c}`")).alias(c)
         for c, t in df.dtypes
     ])
-    day = F.try_to_timestamp(F.col("Date")).cast("date")
-    df = df.filter(day == F.date_sub(transaction_file_day(F.col("FileSource")), 1))
+    df = df.filter(F.col("Date").try_cast("date") == F.date_sub(transaction_file_day(F.col("FileSource")), 1))
     df = df.withColumns({
-        "TransactionTime": F.try_to_timestamp(F.concat_ws(" ", "Date", "Time")).cast("timestamp_ntz"),
+        "TransactionTime": F.concat_ws(" ", "Date", "Time").try_cast("timestamp_ntz"),
         "CardType": program_of(F.col("FileSource"), programs),
     })
     typed = []

@@ -48,9 +48,10 @@ def lookup(
     keyed = [F.col(k).alias("__k_" + k) for k in on]
     packed = F.struct(*values)
     hot = table.filter(F.col(rows) > hot_rows).select(*keyed, packed.alias("__hot"))
-    cold = table.filter(F.col(rows) <= hot_rows).select(
-        *keyed, F.lit(0).alias("__bucket"), packed.alias("__cold")
-    )
+    # always 0, but not as a constant: the optimizer would turn the test of a constant into a filter
+    # and partition by the key alone, which brings the hot rows back into one task
+    zero = F.pmod(F.col(rows), F.lit(1)).cast("int")
+    cold = table.filter(F.col(rows) <= hot_rows).select(*keyed, zero.alias("__bucket"), packed.alias("__cold"))
     drop = ["__k_" + k for k in on]
 
     first = facts.join(F.broadcast(hot), _same(facts, hot, on, "__k_", null_safe), "left").drop(*drop)

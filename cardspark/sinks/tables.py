@@ -23,7 +23,7 @@ def write_table(
     """Append to or replace a table, creating it (and its schema) when missing.
 
     `path` makes it an external table stored there. Partitions of the frame are
-    the parallel writers; a partitioned write is clustered by its keys first.
+    the parallel writers.
     """
     _schema_of(df.sparkSession, name)
     writer = df.write.mode(mode).format("parquet")
@@ -41,9 +41,8 @@ def with_month(df: DataFrame, ts: str = "TransactionTime") -> DataFrame:
 def write_monthly(df: DataFrame, name: str, path: str | None = None, ts: str = "TransactionTime") -> None:
     """Append rows to the month partition of their day.
 
-    Rows are gathered by day before writing, so a task holds one day of one
-    month and the number of files stays small. Days larger than a partition are
-    split again by adaptive execution (REBALANCE).
+    Rows of a month are gathered before writing, so that the number of files
+    stays small; adaptive execution splits months that exceed a partition.
     """
     monthly = with_month(df, ts)
     write_table(monthly.hint("rebalance", "year", "month"), name, "append", ["year", "month"], path)
@@ -99,7 +98,8 @@ def append_day(target: DataFrame | None, batch: DataFrame, day: dt.date | str |
         return batch
     done = target.select(F.to_date(ts).alias("__day")).distinct()
     keyed = batch.withColumn("__day", F.to_date(ts))
-    return keyed.join(done, "__day", "left_anti").drop("__day")
+    # one row per calendar day: small enough to broadcast for any history, and busy days stay spread
+    return keyed.join(F.broadcast(done), "__day", "left_anti").drop("__day")
 
 
 def append_day_to_table(batch: DataFrame, name: str, day: dt.date | str, path: str | None = None) -> None:

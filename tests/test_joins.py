@@ -77,3 +77,20 @@ def test_components_equal_union_find(spark, kind, hot_rows):
 
 def test_no_edges_no_components(spark):
     assert components(spark.createDataFrame([], "hi long, lo long")).count() == 0
+
+
+def test_hot_rows_are_spread_over_the_shuffle(spark):
+    """The bucket is part of the partitioning, not a leftover filter."""
+    df = spark.createDataFrame([(i, "hot") for i in range(400)] + [(1000 + i, f"k{i}") for i in range(20)], "id long, k string")
+    table = df.groupBy("k").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        sizes = [r["count"] for r in lookup(df, table, ["k"], "n", hot_rows=50).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep[0])
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", keep[1])
+    assert sum(sizes) == 420 and max(sizes) < 150
