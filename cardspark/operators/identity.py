@@ -187,8 +187,7 @@ def master(
     if previous is not None:
         kept = previous.join(treated.select(CARD).distinct(), CARD, "left_anti")
         fresh = kept.select(*fresh.columns).unionByName(fresh)
-    out = with_person_id(with_user_id(fresh, users, hot_rows), persons, hot_rows)
-    return out.withColumn("MOVIDON_ID", F.lit(None).cast("long"))
+    return with_person_id(with_user_id(fresh, users, hot_rows), persons, hot_rows)
 
 
 def user_changes(old_master: DataFrame, new_master: DataFrame, as_of: dt.datetime) -> DataFrame:
