@@ -5,7 +5,7 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 OP3 = rf"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 windows AS (
-  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  SELECT doc_id, i, hash(array_to_string(w[i:i + 34], ' ')) AS h
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
 ),
 hit AS (
@@ -20,6 +20,39 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
 FROM d LEFT JOIN gone_list USING (doc_id)
 """
 
+OP9 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+strings AS (
+  SELECT doc_id, i, hash(substr(x, 2 * i - 1, 100)) AS h
+  FROM (SELECT doc_id, x, unnest(range(1, length(x) // 2 - 48)) AS i FROM d WHERE length(x) >= 100)
+),
+hit AS (
+  SELECT doc_id, i FROM strings JOIN (SELECT h, min(doc_id) AS first FROM strings GROUP BY h) USING (h)
+  WHERE first < doc_id
+),
+marked AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM hit),
+numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY i) AS span
+  FROM marked
+),
+spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 1) OVER (PARTITION BY doc_id ORDER BY a) AS from_byte FROM spans
+),
+per AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS tail,
+    list({'a': a, 'f': from_byte} ORDER BY a) AS g
+  FROM gaps GROUP BY doc_id
+)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN g IS NULL THEN x
+    ELSE coalesce(array_to_string(list_transform(g, lambda p: substr(x, 2 * p.f - 1, 2 * (p.a - p.f))), ''), '')
+      || substr(x, 2 * tail - 1) END)) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
 ORACLES = {
     "op3_substring_dedup": OP3,
+    "op9_suffix_array_dedup": OP9,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.llm import substring_dedup as substring
+from cardspark.llm import suffix_dedup as suffix
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,14 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes left after the removal of every 50-byte string that an earlier document has."""
+    return suffix.suffix_dedup(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
