@@ -20,6 +20,31 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
 FROM d LEFT JOIN gone_list USING (doc_id)
 """
 
+OP7 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) >= 1)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS same FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id
+    GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * same >= 85 * (na.n + nb.n - same)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) USING (doc_id)
+"""
+
 OP9 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 strings AS (
@@ -54,5 +79,6 @@ FROM d LEFT JOIN per USING (doc_id)
 
 ORACLES = {
     "op3_substring_dedup": OP3,
+    "op7_minhash_near_dedup": OP7,
     "op9_suffix_array_dedup": OP9,
 }

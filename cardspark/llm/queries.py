@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
 
@@ -19,6 +20,11 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose shingle sets have a similarity of 0.85 or more."""
+    return near.near_dedup(table(spark, folder, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes left after the removal of every 50-byte string that an earlier document has."""
     return suffix.suffix_dedup(table(spark, folder, "documents")).select(
@@ -28,5 +34,6 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
