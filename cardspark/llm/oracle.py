@@ -20,6 +20,67 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
 FROM d LEFT JOIN gone_list USING (doc_id)
 """
 
+FOLDED = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+OP5 = rf"""
+WITH d AS (SELECT doc_id, {FOLDED} AS w FROM documents),
+b AS (SELECT item_id, {FOLDED} AS w FROM benchmark),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s, least(len(w), 5) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) >= 1)
+),
+bs AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s, least(len(w), 5) AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM b WHERE len(w) >= 1)
+),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, any_value(n_shingles) AS n_shingles, count(*) AS n_found
+FROM ds JOIN bs USING (s, k) JOIN n USING (item_id) GROUP BY doc_id, item_id
+HAVING 100 * count(*) >= 80 * any_value(n_shingles)
+"""
+
+OP6 = rf"""
+WITH d AS (SELECT doc_id, source, len({WORDS}) AS size, md5(doc_id::VARCHAR) AS key FROM documents),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source
+),
+weighted AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][(rank - 1) % 3 + 1] AS weight FROM per),
+budget AS (SELECT 1.5::DOUBLE * sum(source_size) AS t, sum(weight) AS w FROM weighted),
+stops AS (
+  SELECT (t - sum(2 * source_size) OVER o) / nullif(w - sum(weight) OVER o, 0) AS rate,
+    lead(2 * source_size / weight) OVER (ORDER BY 2 * source_size / weight, rank) AS next_ratio,
+    2 * source_size / weight AS ratio, rank
+  FROM weighted, budget WINDOW o AS (ORDER BY 2 * source_size / weight, rank ROWS UNBOUNDED PRECEDING)
+),
+rate AS (
+  SELECT CASE WHEN t / w <= (SELECT min(2 * source_size / weight) FROM weighted) THEN t / w
+    ELSE (SELECT rate FROM stops WHERE rate <= next_ratio ORDER BY ratio, rank LIMIT 1) END AS rate FROM budget
+),
+plan AS (
+  SELECT source, source_size, rank,
+    CASE WHEN weight * rate > 2 * source_size THEN (2 * source_size)::DOUBLE ELSE weight * rate END AS target
+  FROM weighted, rate
+),
+queue AS (
+  SELECT d.doc_id, d.size, d.key, p.source_size, p.rank, p.target, c,
+    (sum(size) OVER (PARTITION BY p.rank ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING)) AS emitted
+  FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source, (SELECT unnest([0, 1]) AS c) AS copies
+  WHERE c = 0
+),
+copies AS (
+  SELECT doc_id, size, source_size, target, rank, key, c,
+    CASE WHEN target > 0 THEN (emitted + source_size * c) / target ELSE 0 END AS finish
+  FROM (SELECT * EXCLUDE (c), unnest([0, 1]) AS c FROM queue)
+),
+summed AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, rank, key, doc_id ROWS UNBOUNDED PRECEDING) AS total FROM copies
+)
+SELECT doc_id, size, source_size, target, sum(CASE WHEN total <= t THEN size ELSE 0 END)::BIGINT AS taken
+FROM summed, budget GROUP BY doc_id, size, source_size, target
+"""
+
 OP7 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -79,6 +140,8 @@ FROM d LEFT JOIN per USING (doc_id)
 
 ORACLES = {
     "op3_substring_dedup": OP3,
+    "op5_benchmark_decontamination": OP5,
+    "op6_source_mixing": OP6,
     "op7_minhash_near_dedup": OP7,
     "op9_suffix_array_dedup": OP9,
 }

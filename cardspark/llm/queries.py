@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardspark.llm import decontamination, mixing
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -20,6 +21,16 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that documents contain."""
+    return decontamination.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose shingle sets have a similarity of 0.85 or more."""
     return near.near_dedup(table(spark, folder, "documents"))
@@ -34,6 +45,8 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_source_mixing": op6_source_mixing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
