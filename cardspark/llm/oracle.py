@@ -106,6 +106,74 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS ke
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) USING (doc_id)
 """
 
+# the same lanes as in `fingerprints`: pieces, four halves of 30 bits, 120 bit counts
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+      first(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next,
+    coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC), first(doc_id) OVER (ORDER BY doc_id DESC)) AS next_id
+  FROM documents
+),
+e AS (
+  SELECT *, length(text) AS n,
+    substr(text, 1, length(text) - length(text) // 3) || substr(next, 1, length(text) // 3) AS edited FROM d
+),
+p AS (
+  SELECT doc_id, which, md5(piece) AS h FROM (
+    SELECT doc_id, 0 AS which, unnest(regexp_extract_all(text, '[^\n.!?]{1,160}[\n.!?]*|[\n.!?]+')) AS piece FROM e
+    UNION ALL
+    SELECT doc_id, 1, unnest(regexp_extract_all(edited, '[^\n.!?]{1,160}[\n.!?]*|[\n.!?]+')) FROM e)
+),
+b AS (
+  SELECT doc_id, which, ('0x' || substr(h, 1, 15))::BIGINT AS a, ('0x' || substr(h, 16, 15))::BIGINT AS b FROM p
+),
+halves AS (
+  SELECT doc_id, which, count(*) AS n,
+    printf('%08x%08x%08x%08x%08x', (count(*) % 4294967296)::BIGINT, (sum(a >> 30) % 4294967296)::BIGINT,
+      (sum(a & 1073741823) % 4294967296)::BIGINT, (sum(b >> 30) % 4294967296)::BIGINT,
+      (sum(b & 1073741823) % 4294967296)::BIGINT) AS wide
+  FROM b GROUP BY doc_id, which
+),
+bits AS (
+  SELECT doc_id, which, j, sum((a >> j) & 1)::BIGINT AS a, sum((b >> j) & 1)::BIGINT AS b
+  FROM b, (SELECT unnest(range(60)) AS j) AS lanes GROUP BY doc_id, which, j
+),
+counts AS (
+  SELECT doc_id, which, list(a ORDER BY j) AS a, list(b ORDER BY j) AS b FROM bits GROUP BY doc_id, which
+),
+v AS (
+  SELECT k.doc_id, k.which, coalesce(n, 0) AS n,
+    coalesce(wide, repeat('0', 40)) AS wide,
+    list_concat(coalesce(a, list_transform(range(60), lambda x: 0)), coalesce(b, list_transform(range(60), lambda x: 0)))
+      AS c
+  FROM (SELECT doc_id, unnest([0, 1]) AS which FROM documents) AS k
+  LEFT JOIN halves USING (doc_id, which) LEFT JOIN counts USING (doc_id, which)
+),
+f AS (
+  SELECT doc_id, which, n, c, wide || array_to_string(list_transform(range(60), lambda i: printf('%04x%04x',
+      c[(i // 30) * 60 + i % 30 + 31] % 65536, c[(i // 30) * 60 + i % 30 + 1] % 65536)), '') AS print,
+    list_sum(list_transform(c, lambda x: (2 * x - n) * (2 * x - n))) AS norm
+  FROM v
+),
+pairs AS (
+  SELECT x.doc_id, x.print, y.print AS edited_print,
+    list_sum(list_transform(range(1, 121), lambda i:
+      (2 * (x.c[i] - y.c[i]) - (x.n - y.n)) * (2 * (x.c[i] - y.c[i]) - (x.n - y.n)))) AS apart_edited,
+    list_sum(list_transform(range(1, 121), lambda i:
+      (2 * (x.c[i] - z.c[i]) - (x.n - z.n)) * (2 * (x.c[i] - z.c[i]) - (x.n - z.n)))) AS apart_next,
+    x.norm + y.norm AS both_edited, x.norm + z.norm AS both_next
+  FROM f x JOIN e ON e.doc_id = x.doc_id AND x.which = 0
+  JOIN f y ON y.doc_id = x.doc_id AND y.which = 1 JOIN f z ON z.doc_id = e.next_id AND z.which = 0
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, print AS fingerprint, edited_print AS edited_fingerprint,
+  CASE WHEN both_edited = 0 THEN 1.0::DOUBLE
+    ELSE greatest(0.0, least(1.0, 1 - apart_edited / both_edited))::DOUBLE END AS near_edited,
+  CASE WHEN both_next = 0 THEN 1.0::DOUBLE
+    ELSE greatest(0.0, least(1.0, 1 - apart_next / both_next))::DOUBLE END AS near_next
+FROM pairs JOIN e USING (doc_id)
+"""
+
 OP9 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 strings AS (
@@ -143,5 +211,6 @@ ORACLES = {
     "op5_benchmark_decontamination": OP5,
     "op6_source_mixing": OP6,
     "op7_minhash_near_dedup": OP7,
+    "op8_document_fingerprints": OP8,
     "op9_suffix_array_dedup": OP9,
 }

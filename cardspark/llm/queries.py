@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardspark.llm import decontamination, mixing
+from cardspark.llm import decontamination, fingerprints, mixing, url_filter
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -15,6 +15,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: (host, path, verdict) of the rules for pages
+URL_RULES = [
+    ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
+]
+
+
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.filter_urls(table(spark, folder, "pages"), URL_RULES)
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words left after the removal of every repeated 35-word window."""
     return substring.substring_dedup(table(spark, folder, "documents")).select(
@@ -36,6 +47,11 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_dedup(table(spark, folder, "documents"))
 
 
+def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all texts and edited texts."""
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes left after the removal of every 50-byte string that an earlier document has."""
     return suffix.suffix_dedup(table(spark, folder, "documents")).select(
@@ -44,9 +60,11 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_source_mixing": op6_source_mixing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
