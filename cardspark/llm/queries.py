@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardspark.llm import decontamination, fingerprints, mixing, url_filter
+from cardspark.llm import decontamination, fingerprints, mixing, quality, toxicity, url_filter
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -26,12 +26,24 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every text."""
+    docs = table(spark, folder, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words left after the removal of every repeated 35-word window."""
     return substring.substring_dedup(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every text."""
+    docs = table(spark, folder, "documents")
+    return quality.quality(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The benchmark items that documents contain."""
     return decontamination.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -61,7 +73,9 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_source_mixing": op6_source_mixing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
