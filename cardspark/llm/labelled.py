@@ -90,10 +90,10 @@ def example_counts(rows: DataFrame, vocabulary: np.ndarray, terms: Terms) -> Dat
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], dict[str, pa.Array]], schema: str, text_col: str = "text",
-           id_col: str = "doc_id") -> DataFrame:
+           id_col: str = "doc_id", folds: tuple[int, int] = (5, 0)) -> DataFrame:
     """(id, held_out, …) with the columns that `score` gives for slices of the texts."""
     rows = docs.select(F.col(f"`{id_col}`").alias("row"), F.col(f"`{text_col}`").alias("text"),
-                       held_out(id_col).alias("held_out"))
+                       held_out(id_col, *folds).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

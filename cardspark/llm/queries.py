@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardspark.llm import decontamination, fingerprints, mixing, quality, toxicity, url_filter
+from cardspark.llm import decontamination, fingerprints, labelled, language_id, mixing, quality, toxicity, url_filter
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -71,6 +71,14 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text, learned from the documents outside one of three folds."""
+    docs = table(spark, folder, "documents").withColumn("held_out", labelled.held_out("doc_id", 3, 1))
+    model = language_id.learn(docs.filter("NOT held_out"))
+    found = language_id.identify(docs, model, folds=(3, 1))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_toxicity": op2_toxicity,
@@ -81,4 +89,5 @@ QUERIES = {
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_language_id": op10_language_id,
 }

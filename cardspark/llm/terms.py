@@ -20,7 +20,7 @@ _SHAPE[48:58] = ord("0")
 _SHAPE[128:] = ord("a")
 
 
-def _runs_of(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, document) of the maximal runs of flagged bytes within documents."""
     n = len(buf)
     if n == 0:
@@ -41,7 +41,7 @@ def word_terms(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     A word is a run of ASCII letters and digits and bytes beyond ASCII, A-Z read as a-z.
     """
     buf, offsets = k.text_buffer(texts)
-    starts, ends, of = _runs_of(buf, offsets, _WORD[buf])
+    starts, ends, of = runs_of(buf, offsets, _WORD[buf])
     whole = k.word_hashes(buf, starts, ends, fold=True)
     long = ends - starts > PREFIX
     heads = k.word_hashes(buf, starts[long], starts[long] + PREFIX, fold=True)
