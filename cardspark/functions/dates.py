@@ -77,6 +77,24 @@ def period(df: DataFrame, span: Period, ts: str = "TransactionTime") -> DataFram
     return df.filter(partitions(df, span) & span.holds(ts))
 
 
+def months_back(anchor: dt.datetime, n: int) -> dt.datetime:
+    """First day of the month n months before `anchor`."""
+    index = anchor.year * 12 + anchor.month - 1 - n
+    return dt.datetime(index // 12, index % 12 + 1, 1)
+
+
+def from_month(df: DataFrame, first: dt.datetime) -> DataFrame:
+    """Rows of the month folders from that of `first` on; all rows where the table has no folders.
+
+    For look-backs, which are open at the upper end: the predicate on the time
+    stays with the caller.
+    """
+    if not {"year", "month"} <= set(df.columns):
+        return df
+    year, month = F.col("year"), F.col("month")
+    return df.filter((year >= first.year) & ((year > first.year) | (month >= first.month)))
+
+
 def one_day(day: dt.date | str) -> Period:
     start = dt.datetime.fromisoformat(str(day)[:10])
     return Period(start, start + dt.timedelta(days=1))

@@ -43,10 +43,21 @@ def expiry_date(column: Column | str) -> Column:
     return iso.try_cast("timestamp_ntz")
 
 
+LONG_DATE = r"^([A-Za-z]{3}) (\d{1,2}) (\d{4}) (0?[1-9]|1[0-2]):(\d{2})([AaPp][Mm])$"
+
+
 def long_date(column: Column | str) -> Column:
     """`Jan  5 2019 12:00AM` to a timestamp, null when malformed."""
+    # put together without a zone: a time that a zone skips in spring stays what it is
     single = F.trim(F.regexp_replace(_col(column), " +", " "))
-    return F.try_to_timestamp(single, F.lit("MMM d yyyy h:mma")).cast("timestamp_ntz")
+    part = [F.regexp_extract(single, LONG_DATE, i) for i in range(1, 7)]
+    month = F.floor((F.instr(F.lit("JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"), F.upper(part[0])) + 2) / 3)
+    hour = F.pmod(part[3].try_cast("int"), F.lit(12)) + F.when(F.upper(part[5]) == "PM", 12).otherwise(0)
+    two = [F.lpad(x.cast("string"), 2, "0") for x in (month, part[1], hour, part[4])]
+    iso = F.concat(part[2], F.lit("-"), two[0], F.lit("-"), two[1], F.lit(" "), two[2], F.lit(":"), two[3], F.lit(":00"))
+    good = F.rlike(single, F.lit(LONG_DATE)) & F.pmod(F.instr(
+        F.lit("JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"), F.upper(part[0])) - 1, F.lit(3)).eqNullSafe(0)
+    return F.when(good, iso.try_cast("timestamp_ntz"))
 
 
 def squeeze(column: Column | str) -> Column:

@@ -40,7 +40,7 @@ def weighted_age(
         & birth.isNotNull()
         & ~birth.isin(*[timestamp(d) for d in PLACEHOLDER_BIRTH_DATES])
         & (birth > timestamp(BORN_AFTER))
-    ).select(CARD, F.year("BirthDate").alias("birth_year")).dropDuplicates([CARD])
+    ).groupBy(CARD).agg(F.min(F.year("BirthDate")).alias("birth_year"))  # of repeated cards, the earliest year
     age = F.try_divide(
         (F.col("by_year") - F.col("birth_year") * F.col("total")).cast("double"), F.col("total").cast("double")
     )

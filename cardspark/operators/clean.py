@@ -78,7 +78,7 @@ def clean_transactions(df: DataFrame, programs: dict[str, str] | None = None) ->
 def clean_activations(df: DataFrame) -> DataFrame:
     """Activation rows; a malformed time fails the job."""
     return df.select(
-        F.to_timestamp("ActivationTime", "dd/MM/yyyy HH:mm:ss").cast("timestamp_ntz").alias("ActivationTime"),
+        F.to_timestamp_ntz("ActivationTime", F.lit("dd/MM/yyyy HH:mm:ss")).alias("ActivationTime"),
         without_quotes("CardholderID").alias("CardHolderID"),
         "FileSource",
     )

@@ -57,7 +57,7 @@ def cluster_tables(spark: SparkSession, model: KMeansModel, columns: list[str],
     schema = "ClusterID int, " + ", ".join(f"`{c}` double" for c in columns)
     centers = spark.createDataFrame(rows, schema)
     sizes = members.groupBy("ClusterID").agg(F.count("*").alias("cluster_size"))
-    labels = sizes.select("ClusterID", F.lit("").alias("ClusterLabels"))
+    labels = centers.select("ClusterID", F.lit("").alias("ClusterLabels"))
     return Clusters(model, columns, sizes, centers, labels)
 
 
@@ -102,10 +102,10 @@ def score_with_centers(
     scored = scored.withColumn("std_distance_other_clusters", gap)
     if labels is None:
         return scored.withColumn("ClusterLabels", F.lit(""))
-    # one label row per centre, so this side has len(centers) rows
-    return scored.join(F.broadcast(labels.select("ClusterID", "ClusterLabels")), "ClusterID").select(
+    # one label row per centre, so this side has len(centers) rows; a centre without one has the label ''
+    return scored.join(F.broadcast(labels.select("ClusterID", "ClusterLabels")), "ClusterID", "left").select(
         key, "ClusterID", "min_distance", "avg_distance_other_clusters", "std_distance_other_clusters",
-        "ClusterLabels",
+        F.coalesce("ClusterLabels", F.lit("")).alias("ClusterLabels"),
     )
 
 
@@ -117,13 +117,15 @@ def score_clusters(clusters: Clusters, df: DataFrame, key: str = CARD) -> DataFr
 def explain_clusters(
     df: DataFrame, columns: list[str], label: str = "ClusterID", num_clusters: int | None = None, seed: int = 0
 ) -> RandomForestClassificationModel:
-    """Random forest that predicts the cluster; depth = number of clusters."""
+    """Random forest that predicts the cluster; depth = number of clusters, of which Spark allows `MAX_DEPTH`."""
     data = df.select(features(columns).alias("__x"), F.col(label).cast("double").alias("label")).select(
         array_to_vector("__x").alias("features"), "label"
     )
     if num_clusters is None:
         num_clusters = data.select("label").distinct().count()
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=max(1, min(num_clusters, MAX_DEPTH)), seed=seed)
+    if num_clusters > MAX_DEPTH:
+        raise ValueError(f"a forest of depth {num_clusters} is beyond Spark's {MAX_DEPTH}; pass a smaller num_clusters")
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=max(1, num_clusters), seed=seed)
     return forest.fit(data)
 
 

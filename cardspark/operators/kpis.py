@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardspark.functions.dates import Period, period
+from cardspark.functions.dates import Period, from_month, months_back, period
 from cardspark.functions.values import ratio
 from cardspark.operators.families import spending_other
 from cardspark.operators.lookup import small
@@ -67,6 +67,11 @@ def _since(span: Period, months: int) -> str:
     return f"TransactionTime >= {_stamp(span.last_day)} - INTERVAL '{months}' MONTH"
 
 
+def _recent(df: DataFrame, span: Period, windows: tuple[int, ...]) -> DataFrame:
+    """`df` from the month in which the longest look-back begins."""
+    return from_month(df, months_back(span.last_day, max(windows)))
+
+
 def _words(span: Period) -> int:
     return (len(span.month_list()) - 1) // _MASK_BITS + 1
 
@@ -159,7 +164,8 @@ def _type_aggregates(windows: tuple[int, ...]) -> list[Column]:
 
 
 def _with_types(movements: DataFrame, types: DataFrame) -> DataFrame:
-    types = types.select("TransactionTP", "group_transactions", "IsVolontaire").dropDuplicates(["TransactionTP"])
+    types = types.groupBy("TransactionTP").agg(
+        *[F.min(c).alias(c) for c in ("group_transactions", "IsVolontaire")])  # of repeated types, the least
     return movements.join(small(types), "TransactionTP", "left")
 
 
@@ -195,6 +201,7 @@ def spend_last_months(
 ) -> DataFrame:
     """Spending since n months before the last day of the period, per card."""
     families = {"pos": pos, "other": spending_other(other), "atm": atm}
+    families = {f: _recent(d, span, windows) for f, d in families.items()}
     recent = _union(families).filter(_since(span, max(windows))).filter("amount >= 0")
     return _flagged(recent, span, [], windows).groupBy(CARD).agg(
         *_window_aggregates(windows, "spendings", list(families))
@@ -203,7 +210,7 @@ def spend_last_months(
 
 def loads_last_months(loads: DataFrame, span: Period, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """Loads since n months before the last day of the period, per card."""
-    recent = _movements("load", loads).filter(_since(span, max(windows))).filter("amount >= 0")
+    recent = _movements("load", _recent(loads, span, windows)).filter(_since(span, max(windows))).filter("amount >= 0")
     return _flagged(recent, span, [], windows).groupBy(CARD).agg(*_window_aggregates(windows, "loads", ["load"]))
 
 
@@ -211,6 +218,7 @@ def type_counts(
     families: dict[str, DataFrame], types: DataFrame, span: Period, windows: tuple[int, ...] = WINDOWS
 ) -> DataFrame:
     """Movements per group of the type dimension and look-back window, per card."""
+    families = {f: _recent(d, span, windows) for f, d in families.items()}
     recent = _union(families).filter(_since(span, max(windows)))
     flagged = _with_types(_flagged(recent, span, [], windows), types)
     return flagged.groupBy(CARD).agg(*_type_aggregates(windows))
@@ -248,6 +256,8 @@ def card_kpis(
     `families` maps pos, atm, other, load and fees to their tables.
     """
     kinds = ["atm", "load", "other", "pos"]
+    first = min(span.start, months_back(span.last_day, max(windows)))
+    families = {f: from_month(d, first) for f, d in families.items()}
     moves = _union(families).filter(f"({_inside(span)}) OR {_since(span, max(windows))}")
     flagged = _with_types(_flagged(moves, span, kinds, windows), types)
     wide = flagged.groupBy(CARD).agg(

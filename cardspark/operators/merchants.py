@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardspark.functions.dates import timestamp
+from cardspark.functions.dates import from_month, timestamp
 
 CARD = "CardHolderID"
 
@@ -20,7 +20,8 @@ def top_merchants(
     Payments are counted per card and merchant before the join, so a card with
     very many payments joins as a few rows.
     """
-    paid = pos.filter(F.col("TransactionTime") > timestamp(since)).groupBy(CARD, "MerchantName").agg(
+    first = since if isinstance(since, dt.datetime) else dt.datetime.fromisoformat(str(since))
+    paid = from_month(pos, first).filter(F.col("TransactionTime") > timestamp(since)).groupBy(CARD, "MerchantName").agg(
         F.count("*").alias("n")
     )
     members = clusters.filter(F.col("ClusterID") == cluster_id).select(CARD)

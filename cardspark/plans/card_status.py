@@ -25,11 +25,16 @@ def daily_card_status(
 ) -> DataFrame:
     """Load the file of `day`, log what changed, replace the snapshot.
 
+    Without a file of the day, or without a row in it, nothing is written and
+    an error is raised: an empty snapshot would lose all cards.
+
     The cleaned file is written once and read by all captures. The logs are
     appended before the snapshot is swapped; until then the old one is served.
     """
     files = read_card_status(house.spark, folder, day, day, mode)
     fresh = written(clean_card_status(files, addresses), "card-status")
+    if fresh.isEmpty():
+        raise ValueError(f"no card-status rows of {day} in {folder}")
     if house.exists(CARDS):
         current = house.table(CARDS)
         for name, capture in LOGS.items():

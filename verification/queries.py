@@ -230,7 +230,7 @@ def _(spark, d):
 
 @query("usage_amount")
 def _(spark, d):
-    return usage.usage(fam.pos(tx_long(spark, d)), "MCC", "amount_paid", LONG, MCC_VALUES)
+    return usage.usage(fam.pos(tx_long(spark, d)), "MCC", "amount_paid", LONG, MCC_VALUES).drop(usage.REMAINDER)
 
 
 @query("usage_frequency")
@@ -276,7 +276,7 @@ def _(spark, d):
 @query("usage_of_categories")
 def _(spark, d):
     done = cat.categorize(fam.pos(tx_long(spark, d)), rules(spark))
-    return usage.usage(done, "UNIVERS", "frequency", LONG, ["FOOD", "HOME", "LEISURE", "OTHER", "TRAVEL"])
+    return usage.usage(done, "UNIVERS", "frequency", LONG, ["FOOD", "HOME", "LEISURE", "OTHER", "TRAVEL"]).drop(usage.REMAINDER)
 
 
 # --- snapshots and changes ----------------------------------------------------------------
@@ -498,7 +498,7 @@ def _(spark, d):
 
 # --- clusters and merchants ---------------------------------------------------------------
 
-_DIMS = 8
+_DIMS = 64
 _CENTERS = [[0.05 * ((i * 7 + j * 3) % 11 - 5) for j in range(_DIMS)] for i in range(4)]
 _COLUMNS = [f"e{j}" for j in range(_DIMS)]
 
@@ -607,12 +607,27 @@ def _(spark, d):
 
 @query("write_monthly")
 def _(spark, d):
+    name = _table_name("monthly")
+    rows = tx_long(spark, d).select("TransactionID", "CardHolderID", "TransactionTime", F.col("Amount").cast("double").alias("Amount"))
+    tables.write_monthly(rows, name, new_path(spark, "monthly"))
+    return spark.table(name).select(*rows.columns, "year", "month")
+
+
+@query("read_months")
+def _(spark, d):
+    """A period of a table in month folders; only its folders are read."""
     name = _table_name("monthly")
     rows = tx_long(spark, d).select("TransactionID", "CardHolderID", "TransactionTime", F.col("Amount").cast("double").alias("Amount"))
     tables.write_monthly(rows, name, new_path(spark, "monthly"))
     return period(spark.table(name), Period.months("1996_1", "1996_3")).select(*rows.columns, "year", "month")
 
 
+@query("usage_cells")
+def _(spark, d):
+    """Every merchant as a category, without a bound."""
+    return usage.usage_cells(fam.pos(tx_long(spark, d)), "MerchantID", "amount_paid", LONG)
+
+
 @query("append_day")
 def _(spark, d):
     """Two batches that overlap by days, appended twice: every day arrives once."""

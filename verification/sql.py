@@ -319,6 +319,10 @@ CTES["usage_shares"] = "SELECT CardHolderID, " + ", ".join(f"{_q(m, _TOTAL)} AS
 ORACLES["usage_amount"] = with_views("SELECT * FROM usage_matrix")
 ORACLES["usage_frequency"] = with_views(_matrix(
     "count(*) FILTER (WHERE MCC = '{0}')", "TransactionTime >= '1998-01-01' AND TransactionTime < '1999-07-01'"))
+ORACLES["usage_cells"] = with_views(f"""SELECT CardHolderID, MerchantID AS category, CAST(cell AS DOUBLE) AS cell,
+ CAST(total AS DOUBLE) AS total, CAST(cell AS DOUBLE) / CAST(total AS DOUBLE) AS share FROM (
+  SELECT CardHolderID, MerchantID, sum(Amount) AS cell, sum(sum(Amount)) OVER (PARTITION BY CardHolderID) AS total
+  FROM pos_long WHERE Amount > 0 AND MerchantID <> '' AND {_SPAN} GROUP BY CardHolderID, MerchantID)""")
 ORACLES["usage_share"] = with_views("SELECT * FROM usage_shares")
 _TOP = "greatest(" + ", ".join(f"{m}_Prop" for m in _MCC) + ")"
 ORACLES["usage_summary"] = with_views(
@@ -539,7 +543,7 @@ SELECT CardHolderID, NoMobile, Email FROM fx_next WHERE CardHolderID IN (SELECT
     AND NoMobile IS NOT NULL AND NOT regexp_matches(Email, 'u1[0-9]0@', 'i'))""")
 
 # --- clusters, merchants, tables
-_DIMS = 8
+_DIMS = 64
 _CENTERS = [[0.05 * ((i * 7 + j * 3) % 11 - 5) for j in range(_DIMS)] for i in range(4)]
 
 
@@ -576,6 +580,8 @@ ORACLES["archive_copy"] = ORACLES["ingest_file_per_table"]
 ORACLES["write_monthly"] = with_views("""SELECT TransactionID, CardHolderID, TransactionTime, CAST(Amount AS DOUBLE) AS Amount,
  CAST(year(TransactionTime) AS INT) AS year, CAST(month(TransactionTime) AS INT) AS month FROM fx_long
  WHERE TransactionTime >= '1996-01-01' AND TransactionTime < '1996-04-01'""")
+ORACLES["read_months"] = ORACLES["write_monthly"]
+ORACLES["write_monthly"] = ORACLES["write_monthly"].split(" WHERE TransactionTime >= '1996-01-01'")[0]
 ORACLES["append_day"] = with_views("SELECT TransactionID, CardHolderID, TransactionTime FROM atm_tx")
 ORACLES["refresh_snapshot"] = with_views("SELECT CardHolderID, NoMobile, 'SDD' AS KYC_Status FROM fx_cards WHERE NoMobile <> '3360'")
 ORACLES["write_table"] = with_views(
