@@ -4,7 +4,8 @@
    an odd sketch: the smallest shingle of each of `BINS` hash ranges is a
    MinHash sample, and each sample flips one bit of a bitmap. The XOR of two
    bitmaps is the bitmap of the samples that differ, and its population count
-   tells how many do, most exactly where few do.
+   tells how many do, most exactly where few do. A second bitmap tells which
+   ranges are occupied.
 2. Equal sets are one node, whatever their number.
 3. Nodes that share a band are candidates. Each is compared with the smallest
    node of each of its bands by sketch; the likeliest hub and the smallest one
@@ -37,6 +38,7 @@ PERCENT = 85
 BANDS, ROWS = 24, 5
 BINS = 1024
 BITS = 1024
+WORDS = (BITS + BINS) // 64
 SIGMAS = 4.0
 BLOCK = 4096
 
@@ -45,7 +47,7 @@ _MULTIPLIERS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64
 
 
 def signatures(texts: pa.ChunkedArray | pa.Array, bands: int = BANDS, rows: int = ROWS) -> dict[str, np.ndarray]:
-    """n, f1, f2 (set fingerprint), m (samples), sketch (bits as uint64 words) and band keys of each text."""
+    """n, f1, f2 (set fingerprint), m (samples), sketch (odd and occupied bits as uint64 words) and bands of each text."""
     values, first = shingle_sets(texts)
     n_docs = len(first) - 1
     n = np.diff(first)
@@ -54,7 +56,7 @@ def signatures(texts: pa.ChunkedArray | pa.Array, bands: int = BANDS, rows: int
     f1, f2 = np.zeros(n_docs, np.uint64), np.zeros(n_docs, np.uint64)
     keys = np.zeros((n_docs, bands), np.uint64)
     m = np.zeros(n_docs, np.int64)
-    sketch = np.zeros((n_docs, BITS // 64), np.uint64)
+    sketch = np.zeros((n_docs, WORDS), np.uint64)
     if len(full):
         f1[full] = np.add.reduceat(k.mix(values), at)
         f2[full] = np.add.reduceat(k.mix(values ^ np.uint64(0x5851F42D4C957F2D)), at)
@@ -71,7 +73,10 @@ def signatures(texts: pa.ChunkedArray | pa.Array, bands: int = BANDS, rows: int
         m = np.bincount(doc, minlength=n_docs)
         bit = (k.mix(values[least] + np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITS)).astype(np.int64)
         odd = np.bincount(doc * BITS + bit, minlength=n_docs * BITS) & 1
-        sketch = np.packbits(odd.astype(bool), bitorder="little").view("<u8").reshape(n_docs, BITS // 64)
+        sketch[:, : BITS // 64] = np.packbits(odd.astype(bool), bitorder="little").view("<u8").reshape(n_docs, -1)
+        there = np.zeros(n_docs * BINS, bool)
+        there[doc * BINS + bins[least]] = True
+        sketch[:, BITS // 64 :] = np.packbits(there, bitorder="little").view("<u8").reshape(n_docs, -1)
     return {"n": n, "f1": f1, "f2": f2, "m": m, "sketch": sketch, "bands": keys}
 
 
@@ -98,29 +103,34 @@ def differing(flipped: np.ndarray) -> np.ndarray:
     return -BITS / 2 * np.log(open_share)
 
 
-def may_link(flipped: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m_a: np.ndarray, m_b: np.ndarray,
+def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, m_a: np.ndarray, m_b: np.ndarray,
              percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(whether the sketches allow a similarity of `percent`, estimated equal samples)."""
-    t = percent / 100
+    """(whether the sketches `a` and `b` allow a similarity of `percent`, estimated equal samples), row by row."""
+    t, odd = percent / 100, BITS // 64
+    flipped = np.bitwise_count(a[:, :odd] ^ b[:, :odd]).sum(1, dtype=np.int64)
+    bins = np.bitwise_count(a[:, odd:] | b[:, odd:]).sum(1, dtype=np.int64)
     equal = (m_a + m_b - differing(flipped)) / 2
-    union = (n_a + n_b) / (1 + t)  # size of the union at the threshold
-    bins = BINS * -np.expm1(union * np.log1p(-1 / BINS))
-    d = 2 * bins * (1 - t)  # samples that differ at the threshold, at most
-    sampling = bins * t * (1 - t) * np.maximum(0, 1 - bins / np.maximum(union, 1)) + bins * 0.02
-    reading = BITS / 4 * np.expm1(np.minimum(4 * d / BITS, 50)) / 4
-    return equal >= t * bins - SIGMAS * np.sqrt(sampling + reading) - 2, equal
+    # at the threshold: the occupied ranges are a sample of the union, drawn without replacement
+    union = np.maximum((n_a + n_b) / (1 + t), bins)
+    sampling = bins * t * (1 - t) * (union - bins) / np.maximum(union - 1, 1)
+    d = 2 * bins * (1 - t)
+    two, four = np.exp(d * np.log1p(-2 / BITS)), np.exp(d * np.log1p(-4 / BITS))
+    read = np.maximum(BITS / 4 * (1 - four) + BITS**2 / 4 * (four - two**2), 0) / (4 * two**2)
+    return equal >= t * bins - SIGMAS * np.sqrt(sampling + read) - 0.5, equal
 
 
-def _sketch_test(pairs: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    def column(name: str) -> np.ndarray:
-        return pairs.column(name).to_numpy()
+def _column(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).to_numpy()
+
 
-    def sketch(name: str) -> np.ndarray:
-        flat = pairs.column(name).combine_chunks().flatten().to_numpy().view(np.uint64)
-        return flat.reshape(pairs.num_rows, BITS // 64)
+def _matrix(rows: pa.Table, name: str) -> np.ndarray:
+    """A column of equally long arrays of longs as a matrix."""
+    return rows.column(name).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1)
 
-    flipped = np.bitwise_count(sketch("sketch_a") ^ sketch("sketch_b")).sum(1, dtype=np.int64)
-    return may_link(flipped, column("n_a"), column("n_b"), column("m_a"), column("m_b"), percent)
+
+def _sketch_test(pairs: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    return may_link(_matrix(pairs, "sketch_a"), _matrix(pairs, "sketch_b"),
+                    *[_column(pairs, c) for c in ("n_a", "n_b", "m_a", "m_b")], percent)
 
 
 def _confirm_batch(batch: pa.Table, percent: int) -> np.ndarray:
@@ -170,64 +180,70 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     return pairs.mapInArrow(_filter(test), "a long, b long, score double").select("a", "b")
 
 
-def _evaluated(cells: pa.Table, q: np.ndarray, x: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """`may_link` of the row pairs (q, x), some thousands at a time."""
-    n, m = cells.column("n").to_numpy(), cells.column("m").to_numpy()
-    sketch = cells.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
-    ok, equal = np.zeros(len(q), bool), np.zeros(len(q))
-    for i in range(0, len(q), 1 << 15):
-        a, b = q[i : i + (1 << 15)], x[i : i + (1 << 15)]
-        flipped = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
-        ok[i : i + len(a)], equal[i : i + len(a)] = may_link(flipped, n[a], n[b], m[a], m[b], percent)
-    return ok, equal
-
-
 def _across(cells: pa.Table, percent: int, low: int, high: int) -> pa.Table:
-    """Likely pairs across components in each cell, those ranked low <= rank < high for the asking node."""
+    """Likely pairs of unconnected nodes, those ranked low <= rank < high for the asking node.
+
+    A pair that shares several bands is looked at in the first. If pairs of
+    higher rank remain, a row (-1, -1) tells so.
+    """
     cells = cells.sort_by([("key", "ascending"), ("x", "ascending"), ("q", "ascending"), ("target", "ascending"),
                            ("node", "ascending")])
-    key, block, ask, node, start, now = (cells.column(c).to_numpy() for c in ("key", "x", "q", "node", "start", "now"))
+    key, block, ask, node, start, now, band, n, m = (
+        _column(cells, c) for c in ("key", "x", "q", "node", "start", "now", "band", "n", "m"))
     target, asking = (cells.column(c).to_numpy(zero_copy_only=False) for c in ("target", "asking"))
+    sketch, bands = _matrix(cells, "sketch"), _matrix(cells, "bands")
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (ask[1:] != ask[:-1])
     edges = np.append(np.flatnonzero(new), len(key)).tolist()
     out: list[tuple[np.ndarray, np.ndarray]] = []
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    more = False
 
     def flush() -> None:
+        nonlocal more
         if not waiting:
             return
         q, x = (np.concatenate(side) for side in zip(*waiting, strict=True))
         waiting.clear()
         # a pair of two asking nodes is looked at from the larger one
-        fit = (start[q] != start[x]) & ~(asking[x] & (node[x] >= node[q]))
+        fit = np.flatnonzero((start[q] != start[x]) & ~(asking[x] & (node[x] >= node[q])))
         q, x = q[fit], x[fit]
-        ok, equal = _evaluated(cells, q, x, percent)
-        q, x, equal = q[ok], x[ok], equal[ok]
+        found = [(q[:0], x[:0], np.zeros(0))]
+        for i in range(0, len(q), 1 << 14):
+            a, b = q[i : i + (1 << 14)], x[i : i + (1 << 14)]
+            before = np.arange(bands.shape[1])[None, :] < band[a][:, None]
+            first = ~((bands[a] == bands[b]) & before).any(1)
+            a, b = a[first], b[first]
+            ok, equal = may_link(sketch[a], sketch[b], n[a], n[b], m[a], m[b], percent)
+            found.append((a[ok], b[ok], equal[ok]))
+        q, x, equal = (np.concatenate(part) for part in zip(*found, strict=True))
         order = np.lexsort((node[x], -equal, q))
         q, x = q[order], x[order]
         rank = np.arange(len(q)) - np.searchsorted(q, q)
-        keep = (rank >= low) & (rank < high)
+        apart = now[q] != now[x]
+        more = more or bool((apart & (rank >= high)).any())
+        keep = apart & (rank >= low) & (rank < high)
         out.append((q[keep], x[keep]))
 
     held = 0
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         middle = a + int(np.searchsorted(target[a:b], True))
         askers, targets = np.arange(a, middle), np.arange(middle, b)
-        step = max(1, (1 << 20) // max(1, len(targets)))
+        step = max(1, (1 << 19) // max(1, len(targets)))
         for i in range(0, len(askers), step):
             some = askers[i : i + step]
             waiting.append((np.repeat(some, len(targets)), np.tile(targets, len(some))))
             held += len(some) * len(targets)
-            if held >= 1 << 20:
+            if held >= 1 << 19:
                 flush()
                 held = 0
     flush()
-    q = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
-    x = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64)
+    q = np.concatenate([np.zeros(0, np.int64), *[o[0] for o in out]])
+    x = np.concatenate([np.zeros(0, np.int64), *[o[1] for o in out]])
+    last = [-1] if more else []
     return pa.table({
-        "a": pa.array(np.minimum(node[q], node[x]), pa.int64()), "b": pa.array(np.maximum(node[q], node[x]), pa.int64()),
-        "apart": pa.array(now[q] != now[x], pa.bool_()),
+        "a": pa.array(np.append(np.minimum(node[q], node[x]), last).astype(np.int64)),
+        "b": pa.array(np.append(np.maximum(node[q], node[x]), last).astype(np.int64)),
     })
 
 
@@ -236,12 +252,22 @@ def _component_of(edges: DataFrame) -> DataFrame:
     return components(edges.select(F.col("b").alias("hi"), F.col("a").alias("lo")))
 
 
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """`found` after components are joined by further links."""
+    ends = _placed(_placed(links, "a", found, "ca"), "b", found, "cb").filter("ca <> cb").select(
+        F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+    up = written(_component_of(ends.distinct()), "joined")
+    moved = found.join(up.toDF("component", "above"), "component", "left").select(
+        "node", F.coalesce("above", "component").alias("component"))
+    return written(moved.unionByName(up), "found")
+
+
 def _placed(frame: DataFrame, node: str, found: DataFrame, name: str) -> DataFrame:
     return frame.join(found.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(
         name, F.coalesce(name, node))
 
 
-def _salts(count: Column, block: int) -> Column:
+def _blocks(count: Column, block: int) -> Column:
     return F.ceil(count / F.lit(block)).cast("int")
 
 
@@ -253,7 +279,7 @@ def linked_components(nodes: DataFrame, texts: DataFrame, n_tasks: int, percent:
     across components is dealt to `n_tasks` groups of cells; a cell holds at most
     about `block` asking and `block` other members of a band.
     """
-    members = nodes.select("node", F.explode("bands").alias("key"))
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size")).filter("size > 1")
     meeting = written(members.join(hubs, "key"), "bands")
     star = meeting.filter("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -261,8 +287,8 @@ def linked_components(nodes: DataFrame, texts: DataFrame, n_tasks: int, percent:
     chosen = likely.groupBy("b").agg(F.min("a").alias("a"), F.max_by("a", F.struct("score", -F.col("a"))).alias("best"))
     first = chosen.select(F.explode(F.array_distinct(F.array("a", "best"))).alias("a"), "b")
     tried = written(first, "pairs")
-    edges = written(confirmed(tried, texts, percent), "links")
-    found = written(_component_of(edges), "found")
+    links = written(confirmed(tried, texts, percent), "links")
+    found = written(_component_of(links), "found")
 
     # members of the bands that hold several components, with the component they start from
     placed = _placed(meeting, "node", found, "start")
@@ -270,37 +296,30 @@ def linked_components(nodes: DataFrame, texts: DataFrame, n_tasks: int, percent:
     mixed = shares.groupBy("key").agg(
         F.max_by("start", F.struct("share", -F.col("start"))).alias("main"), F.count("*").alias("parts"),
         F.max("share").alias("main_share")).filter("parts > 1")
-    asked = placed.join(mixed, "key").withColumn("asks", F.col("start") != F.col("main"))
-    slim = nodes.select("node", "n", "m", "sketch")
-    asked = asked.select(
-        "key", "node", "start", "asks", _salts(F.col("size"), block).alias("blocks"),
-        _salts(F.col("size") - F.col("main_share"), block).alias("ask_blocks"),
-    ).join(slim, "node")
+    asks = F.col("start") != F.col("main")
+    blocks, ask_blocks = _blocks(F.col("size"), block), _blocks(F.col("size") - F.col("main_share"), block)
     hashed = F.xxhash64("node")
-    as_target = F.transform(F.sequence(F.lit(0), F.col("ask_blocks") - 1), lambda q: F.struct(
-        F.lit(True).alias("target"), F.pmod(hashed, F.col("blocks")).cast("int").alias("x"), q.alias("q")))
-    as_asker = F.when(F.col("asks"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
-        F.lit(False).alias("target"), x.alias("x"), F.pmod(hashed, F.col("ask_blocks")).cast("int").alias("q"))))
-    cells = asked.select(
-        "key", "node", "start", "n", "m", "sketch", F.col("asks").alias("asking"),
-        F.explode(F.concat(as_target, F.coalesce(as_asker, F.slice(as_target, 1, 0)))).alias("at"),
-    ).select("key", "node", "start", "n", "m", "sketch", "asking", "at.target", "at.x", "at.q")
-    cells = written(cells.withColumn("task", F.pmod(F.xxhash64("key", "x", "q"), F.lit(n_tasks))), "cells")
-    low, high = 0, 2
-    while True:
+    as_target = F.transform(F.sequence(F.lit(0), ask_blocks - 1), lambda q: F.struct(
+        F.lit(True).alias("target"), F.pmod(hashed, blocks).cast("int").alias("x"), q.alias("q")))
+    as_asker = F.transform(F.sequence(F.lit(0), blocks - 1), lambda x: F.struct(
+        F.lit(False).alias("target"), x.alias("x"), F.pmod(hashed, ask_blocks).cast("int").alias("q")))
+    cells = placed.join(mixed, "key").select(
+        "key", "band", "node", "start", asks.alias("asking"),
+        F.explode(F.when(asks, F.concat(as_target, as_asker)).otherwise(as_target)).alias("at"),
+    ).select("key", "band", "node", "start", "asking", "at.target", "at.x", "at.q")
+    cells = written(cells.join(nodes, "node").withColumn(
+        "task", F.pmod(F.xxhash64("key", "x", "q"), F.lit(n_tasks))), "cells")
+    low, high, more = 0, 3, not cells.isEmpty()
+    while more:
         now = _placed(cells, "start", found, "now")
-        pairs = now.groupBy("task").applyInArrow(
-            ex.on_group(_across, percent=percent, low=low, high=high), "a long, b long, apart boolean")
-        pairs = written(pairs.distinct(), "across")
-        apart = pairs.filter("apart").select("a", "b").join(tried, ["a", "b"], "left_anti")
-        if pairs.isEmpty():
-            return found
-        more = written(confirmed(apart, texts, percent), "links")
-        tried = tried.unionByName(apart)
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            found = written(_component_of(edges), "found")
-        low, high = high, 3 * high
+        pairs = written(now.groupBy("task").applyInArrow(
+            ex.on_group(_across, percent=percent, low=low, high=high), "a long, b long").distinct(), "across")
+        more = not pairs.filter("a < 0").isEmpty()
+        links = written(confirmed(pairs.filter("a >= 0").join(tried, ["a", "b"], "left_anti"), texts, percent), "links")
+        if not links.isEmpty():
+            found = _merged(found, links)
+        low, high = high, 8 * high
+    return found
 
 
 def near_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = PERCENT,
