@@ -104,9 +104,8 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, n_chars, fingerprint) of every text; null texts are empty, and empty texts have the zero vector."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).select(
-        "id", F.length("text").alias("n_chars"), F.monotonically_increasing_id().alias("row"),
-        F.explode_outer(pieces(F.col("text"))).alias("piece"))
+    numbered = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = numbered.select("id", F.length("text").alias("n_chars"), "row", F.explode_outer(pieces(F.col("text"))).alias("piece"))
     return summed(rows, ["id", "n_chars", "row"], "piece").select(
         F.col("id").alias(id_col), "n_chars", fingerprint(F.col("lanes")).alias("fingerprint"))
 

@@ -9,9 +9,11 @@ from cardspark.llm import decontamination, fingerprints, labelled, language_id,
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
+from cardspark.llm.shipping import ship
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
