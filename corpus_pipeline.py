@@ -11,22 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.llm import decontamination, mixing, near_dedup, suffix_dedup, toxicity
+from cardspark.llm.shipping import ship
 from cardspark.session import written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half."""
+    ship(spark)
     return toxicity.clean(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; of rows with equal id and text, one."""
+    ship(spark)
     kept = near_dedup.near_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that an earlier document has; a document of which nothing is left goes."""
+    ship(spark)
     cut = suffix_dedup.suffix_dedup(docs, characters=True, rest=True).filter("n_removed = 0 OR n_removed < n_bytes")
     text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(F.decode("kept", "UTF-8"))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
@@ -36,6 +40,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
+    ship(spark)
     return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -57,6 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
