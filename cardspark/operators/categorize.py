@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cardspark.functions.values import java_pattern
 from cardspark.operators.lookup import lookup, small
+from cardspark.session import written
 from cardspark.operators.numbering import number_rows
 from cardspark.sources.rules import Rules
 
@@ -23,6 +24,7 @@ PAIR = ["MCC", "MerchantName"]
 FIRST_NOTES = (1,)
 SECOND_NOTES = (0, 2)
 RULES_PER_PASS = 20_000
+BROADCAST_BYTES = 32 << 20
 
 
 def _label(rules: DataFrame, categories: DataFrame) -> DataFrame:
@@ -104,9 +106,28 @@ def _pairs(tx: DataFrame) -> DataFrame:
     return tx.groupBy(*PAIR).agg(F.count("*").alias("__rows"))
 
 
-def _back(tx: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Bring `__category` from the dictionary to the transactions."""
-    return lookup(tx, pairs.select(*PAIR, "__rows", "__category"), PAIR, "__rows", null_safe=True)
+def _back(tx: DataFrame, pairs: DataFrame, decided: Column, open_rows: Column | None = None) -> DataFrame:
+    """Bring `__category` from the dictionary to the transactions.
+
+    Only pairs that got a category travel. Their bytes are measured: up to
+    `BROADCAST_BYTES` they are sent to every executor and the transactions stay
+    where they are. Beyond that, rows are shuffled, but none that cannot change:
+    only those for which `open_rows` holds, if given.
+    """
+    table = written(pairs.filter(decided).select(*PAIR, "__rows", "__category"), "decided")
+    texts = [c for c, t in table.select(*PAIR, "__category.*").dtypes if t == "string"]
+    flat = table.select(*PAIR, "__category.*")
+    size = flat.agg(F.sum(
+        sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(128)))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        ours, theirs = tx, F.broadcast(table.select(*[F.col(c).alias(f"__k_{c}") for c in PAIR], "__category"))
+        same = [ours[c].eqNullSafe(F.col(f"__k_{c}")) for c in PAIR]
+        return ours.join(theirs, same[0] & same[1], "left").drop(*[f"__k_{c}" for c in PAIR])
+    if open_rows is None:
+        return lookup(tx, table, PAIR, "__rows", null_safe=True)
+    closed = tx.filter(~F.coalesce(open_rows, F.lit(False))).withColumn(
+        "__category", F.lit(None).cast(table.schema["__category"].dataType))
+    return lookup(tx.filter(open_rows), table, PAIR, "__rows", null_safe=True).unionByName(closed)
 
 
 def _assign(tx: DataFrame, category: Column, where: Column | None = None) -> DataFrame:
@@ -130,14 +151,14 @@ def categorize_mcc(tx: DataFrame, rules: Rules, notes: Sequence[int] = FIRST_NOT
 def categorize_override(tx: DataFrame, rules: Rules, notes: Sequence[int] = FIRST_NOTES) -> DataFrame:
     """Rules on (MCC, merchant name); the last matching one replaces the category."""
     pairs = _pairs(tx).join(small(override_rules(rules, notes)), "MCC", "left")
-    joined = _back(tx, pairs.withColumn("__category", _last_hit("__rules")))
+    joined = _back(tx, pairs.withColumn("__category", _last_hit("__rules")), F.col("__category").isNotNull())
     return _assign(joined, F.col("__category")).select(*tx.columns)
 
 
 def categorize_fill(tx: DataFrame, rules: Rules) -> DataFrame:
     """Rules on the merchant name, for rows without category; the first match wins."""
     open_rows = tx.filter(_uncategorised())
-    joined = _back(tx, _with_fill(_pairs(open_rows), rules))
+    joined = _back(tx, _with_fill(_pairs(open_rows), rules), F.col("__category").isNotNull(), _uncategorised())
     return _assign(joined, F.col("__category"), _uncategorised()).select(*tx.columns)
 
 
@@ -152,6 +173,7 @@ def categorize(tx: DataFrame, rules: Rules) -> DataFrame:
     decided = F.coalesce(_last_hit("__r2"), F.col("__c2"), _last_hit("__r1"), F.col("__c1"))
     pairs = _with_fill(pairs.withColumn("__decided", decided), rules)
     pairs = pairs.withColumn("__category", F.struct("__decided", F.col("__category").alias("__filled")))
-    joined = _back(tx, pairs)
+    some = F.col("__category.__decided").isNotNull() | F.col("__category.__filled").isNotNull()
+    joined = _back(tx, pairs, some)
     done = _assign(joined, F.col("__category.__decided"))
     return _assign(done, F.col("__category.__filled"), _uncategorised()).select(*tx.columns)

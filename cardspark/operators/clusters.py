@@ -114,6 +114,29 @@ def score_clusters(clusters: Clusters, df: DataFrame, key: str = CARD) -> DataFr
     return score_with_centers(df, features(clusters.columns), centers, clusters.labels, key)
 
 
+def fit_properties(df: DataFrame, clusters: Clusters, members: DataFrame, key: str = CARD, tolerance: float = 0.02) -> DataFrame:
+    """Per cluster what must hold of a fit, recomputed from all rows.
+
+    ClusterID, n_members, size_agrees (with the table of sizes), all_nearest (no
+    member is nearer to another centre), centre_is_mean (every coordinate within
+    `tolerance` of the mean of the members; the last step of a fit moves the
+    centres a little), one_label.
+    """
+    centers = [list(map(float, c)) for c in clusters.model.clusterCenters()]
+    scored = score_clusters(clusters, df, key).select(key, F.col("ClusterID").alias("nearest"), "ClusterLabels")
+    vectors = df.select(key, features(clusters.columns).alias("__x"))
+    rows = members.select(key, "ClusterID").join(scored, key).join(vectors, key)
+    means = [F.avg(F.col("__x")[j]).alias(f"__m{j}") for j in range(len(clusters.columns))]
+    own = F.element_at(F.array(*[F.array(*[F.lit(x) for x in c]) for c in centers]), F.col("ClusterID") + 1)
+    off = F.array_max(F.zip_with(F.array(*[F.col(f"__m{j}") for j in range(len(means))]), own, lambda a, b: F.abs(a - b)))
+    per = rows.groupBy("ClusterID").agg(
+        F.count("*").alias("n_members"), F.min(F.col("nearest") == F.col("ClusterID")).alias("all_nearest"),
+        (F.countDistinct("ClusterLabels") == 1).alias("one_label"), *means)
+    return per.join(clusters.sizes.select("ClusterID", "cluster_size"), "ClusterID", "full").select(
+        "ClusterID", "n_members", F.col("n_members").eqNullSafe(F.col("cluster_size")).alias("size_agrees"), "all_nearest",
+        (off <= tolerance).alias("centre_is_mean"), "one_label")
+
+
 def explain_clusters(
     df: DataFrame, columns: list[str], label: str = "ClusterID", num_clusters: int | None = None, seed: int = 0
 ) -> RandomForestClassificationModel:

@@ -95,11 +95,35 @@ def end_balance(df: DataFrame, by: tuple[str, ...] = (CARD,)) -> DataFrame:
     )
 
 
+def _moments(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """One row per group and time: credits, debits, number of debits, and the balances."""
+    rows = money_class(df.filter(F.col(CARD) != "0")).withColumn("amount", money("Amount"))
+    debit = F.col("is_real_debit")
+    return calendar_buckets(rows.groupBy(*by, "TransactionTime").agg(
+        F.sum(F.when(F.col("is_credit"), F.col("amount"))).alias("credit"),
+        F.sum(F.when(debit, F.col("amount"))).alias("debit"), F.count(F.when(debit, 1)).alias("debits"),
+        F.sum(money("RemainingBalance")).alias("s"), F.count("RemainingBalance").alias("n"),
+    ))
+
+
 def monthly_kpis(df: DataFrame, by: tuple[str, ...] = (CARD,)) -> DataFrame:
-    """All month indicators of the cards of one month (or of each `by` group)."""
-    flows = _prepared(df).groupBy(*by).agg(*_flow_aggregates(), *_bucket_aggregates())
-    flows = flows.select(*by, *_flow_columns(), *COUNT_COLUMNS)
-    return flows.join(end_balance(df, by), list(by), "inner")
+    """All month indicators of the cards of one month (or of each `by` group).
+
+    The rows are read once: a first grouping by time serves the flows, the
+    counts, whose buckets follow from the time, and the balance at the latest time.
+    """
+    def part(amount: str, bucket: str, value: str) -> Column:
+        return F.sum(F.when(F.col(bucket) == value, F.col(amount)))
+
+    folded = _moments(df, by).groupBy(*by).agg(
+        F.sum("credit").alias("__load"), part("credit", "mois_moment", "premiere_semaine").alias("__load_first"),
+        F.sum("debit").alias("__debit"), part("debit", "mois_moment", "quatrieme_semaine").alias("__debit_end"),
+        *[F.coalesce(part("debits", b, v), F.lit(0)).alias(_count_name(b, v)) for b, values in BUCKETS.items() for v in values],
+        F.max(F.when(F.col("TransactionTime").isNotNull(), F.struct("TransactionTime", "s", "n"))).alias("last"),
+    )
+    balance = F.try_divide(F.col("last.s").cast("double"), F.col("last.n").cast("double"))
+    return folded.filter("last IS NOT NULL").select(
+        *by, *_flow_columns(), *COUNT_COLUMNS, balance.alias("remaining_balance_end_month"))
 
 
 def rollup_months(df: DataFrame) -> DataFrame:

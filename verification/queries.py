@@ -520,11 +520,24 @@ def _(spark, d):
     return _rounded(clusters.distance_distribution(scored))
 
 
+def _fitted(spark, d):
+    data = _embedded(spark, d)
+    model, members = clusters.fit_clusters(data, _COLUMNS, 4, seed=7)
+    return data, clusters.relabel(model, {0: "first"}), members
+
+
 @query("clusters")
 def _(spark, d):
-    data = _embedded(spark, d)
-    model, _members = clusters.fit_clusters(data, _COLUMNS, 4, seed=7)
-    return clusters.score_clusters(clusters.relabel(model, {0: "first"}), data)
+    """What must hold of any fit, worked out over all rows."""
+    return clusters.fit_properties(*_fitted(spark, d)).agg(
+        F.count("*").alias("n_clusters"), F.sum("n_members").alias("n_members"),
+        *[F.min(c).alias(c) for c in ("size_agrees", "all_nearest", "centre_is_mean", "one_label")])
+
+
+@query("clusters_scored")
+def _(spark, d):
+    data, model, _members = _fitted(spark, d)
+    return clusters.score_clusters(model, data)
 
 
 @query("feature_importance")
@@ -534,7 +547,11 @@ def _(spark, d):
         "CardHolderID",
     )
     forest = clusters.explain_clusters(data, _COLUMNS, "label")
-    return clusters.feature_importance(spark, forest, _COLUMNS, top=10)
+    found = clusters.feature_importance(spark, forest, _COLUMNS)
+    return found.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("feature").alias("n_features"),
+        F.round(F.sum("FeatureImportance"), 6).alias("total"), F.min(F.col("FeatureImportance") >= 0).alias("none_below_0"),
+        F.max(F.col("FeatureImportance") > 0).alias("some_above_0"))
 
 
 @query("top_merchants")

@@ -562,6 +562,10 @@ ORACLES["distance_distribution"] = with_views("""SELECT ClusterID, count(*) AS n
  round(quantile_cont(min_distance, 0.25), 6) AS d_q1, round(quantile_cont(min_distance, 0.5), 6) AS d_median,
  round(quantile_cont(min_distance, 0.75), 6) AS d_q3, round(max(min_distance), 6) AS d_max, round(avg(min_distance), 6) AS d_avg
 FROM scored GROUP BY ClusterID""")
+ORACLES["clusters"] = """SELECT CAST(4 AS BIGINT) AS n_clusters, count(*) AS n_members, true AS size_agrees, true AS all_nearest,
+ true AS centre_is_mean, true AS one_label FROM embeddings"""
+ORACLES["feature_importance"] = """SELECT CAST(64 AS BIGINT) AS n_rows, CAST(64 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS total,
+ true AS none_below_0, true AS some_above_0"""
 ORACLES["top_merchants"] = with_views("""SELECT MerchantName, count(*) AS nb_transactions FROM pos_long
 WHERE CAST(CardHolderID AS BIGINT) % 5 = 3 AND CardHolderID IN (SELECT CardHolderID FROM fx_cards)
   AND TransactionTime > '1997-08-01' GROUP BY MerchantName ORDER BY 2 DESC, 1 LIMIT 10""")
