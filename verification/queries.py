@@ -469,6 +469,17 @@ def _propagated(spark, d):
     return idn.propagate_changes(log, stale, master2, AS_OF)
 
 
+@query("bootstrap_users_keys")
+def _(spark, d):
+    """First build over cards with good and bad e-mails and person keys."""
+    return idn.bootstrap_users(cards(spark, d))
+
+
+@query("propagate_log")
+def _(spark, d):
+    return _propagated(spark, d)[1].select(*_MASTER, "dt_change")
+
+
 @query("propagate_users")
 def _(spark, d):
     return _propagated(spark, d)[0]
@@ -583,6 +594,23 @@ def new_path_suffix() -> str:
     return uuid.uuid4().hex
 
 
+@query("landing_days")
+def _(spark, d):
+    """Day and window of file names of all three kinds, made from the order dates."""
+    days = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+    kinds = {"transactions": ("A_", "ddMMyy", "_1.csv"), "activations": ("report_", "yyyyMMdd", "12.csv"),
+             "status": ("cards-", "yyyy-MM-dd", ".csv")}
+    out = None
+    for kind, (before, pattern, after) in kinds.items():
+        name = F.concat(F.lit(before), F.date_format("day", pattern), F.lit(after))
+        year = 2096 if kind == "transactions" else 1996  # their names have two digits, read as 20YY
+        part = days.select(name.alias("file_name")).select(
+            F.lit(kind).alias("kind"), "file_name", landing.file_day(F.col("file_name"), kind).alias("file_day"),
+            landing.in_window(F.col("file_name"), kind, dt.date(year, 1, 1), dt.date(year, 12, 31)).alias("inside"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("export_and_read")
 def _(spark, d):
     rows = tx(spark, d).select("TransactionID", "CardHolderID", F.col("Amount").cast("double").alias("Amount"), "MerchantName")

@@ -524,6 +524,10 @@ WHERE GoodCombinaison = 1 GROUP BY combinaison HAVING count(DISTINCT USER_ID) >
 ORACLES["master"] = _identity("SELECT * FROM m2", _EVERY)
 ORACLES["user_changes"] = _identity("""SELECT n.* EXCLUDE (USER_ID), o.USER_ID, TIMESTAMP '2024-02-14 06:00:00' AS dt_change
 FROM m2 n JOIN m1 o USING (CardHolderID) WHERE o.USER_ID <> n.USER_ID""", _EVERY)
+ORACLES["bootstrap_users_keys"] = ORACLES["resolve_users"]
+ORACLES["propagate_log"] = _identity("""SELECT n.* EXCLUDE (USER_ID), o.USER_ID, TIMESTAMP '2024-02-14 06:00:00' AS dt_change
+FROM m2 n JOIN m1 o USING (CardHolderID) WHERE o.USER_ID <> n.USER_ID UNION ALL BY NAME
+SELECT m2.*, TIMESTAMP '2024-02-14 06:00:00' AS dt_change FROM m2 WHERE USER_ID IN (SELECT old FROM id_moves)""", _EVERY)
 ORACLES["propagate_users"] = _identity("SELECT * FROM moved_users", _EVERY)
 ORACLES["propagate_master"] = _identity("""
 SELECT m2.* EXCLUDE (USER_ID, PERSON_ID), u.USER_ID,
@@ -576,6 +580,16 @@ SELECT 'p_brand', 'TEXT' UNION ALL
 SELECT 'p_type', CASE WHEN max(length(p_type)) <= 20 THEN 'VARCHAR (40)' ELSE 'TEXT' END FROM part UNION ALL
 SELECT 'p_size', 'INTEGER' UNION ALL SELECT 'p_retailprice', 'double precision'"""
 ORACLES["table_profile"] = "SELECT count(*) AS num_rows, CAST(6 AS INT) AS num_columns FROM part"
+ORACLES["landing_days"] = """
+WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT 'transactions' AS kind, 'A_' || strftime(day, '%d%m%y') || '_1.csv' AS file_name,
+ CAST('20' || strftime(day, '%y-%m-%d') AS DATE) AS file_day,
+ CAST('20' || strftime(day, '%y-%m-%d') AS DATE) - 1 BETWEEN DATE '2096-01-01' AND DATE '2096-12-31' AS inside
+FROM days UNION ALL
+SELECT 'activations', 'report_' || strftime(day, '%Y%m%d') || '12.csv', day, day BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
+FROM days UNION ALL
+SELECT 'status', 'cards-' || strftime(day, '%Y-%m-%d') || '.csv', day, day BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
+FROM days"""
 ORACLES["export_and_read"] = with_views(
     "SELECT TransactionID, CardHolderID, CAST(Amount AS DOUBLE) AS Amount, MerchantName FROM fx_tx")
 ORACLES["ingest_files"] = with_views("SELECT TransactionID, CardHolderID, CAST(Amount AS DOUBLE) * 2 AS Amount FROM fx_tx")
