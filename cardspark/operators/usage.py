@@ -46,14 +46,15 @@ def observed_values(cells: DataFrame) -> list[str]:
 
 
 def usage(
-    pos: DataFrame, level: str, metric: str, span: Period | None = None, values: list[str] | None = None
+    pos: DataFrame, level: str, metric: str, span: Period | None = None, values: list[str] | None = None,
+    remainder: bool = False,
 ) -> DataFrame:
     """Card x category matrix of `frequency` or `amount_paid`, missing cells 0.
 
     Without `values` every category becomes a column, which suits tens or
-    hundreds of them; for more use `usage_cells`. With `values`, the column
-    `__remainder` holds what a card spent in other categories, and cards that
-    used none of the values keep their row.
+    hundreds of them; for more use `usage_cells`. With `values`, cards that used
+    none of them keep their row, and with `remainder` the column `__remainder`
+    holds what a card spent in other categories, so that shares are of its whole.
     """
     cells = usage_cells(pos, level, metric, span)
     if values is None:
@@ -61,8 +62,10 @@ def usage(
     values = sorted(values)
     kind = dict(cells.dtypes)["cell"]
     own = [F.coalesce(F.max(F.when(F.col("category") == v, F.col("cell"))), F.lit(0).cast(kind)).alias(v) for v in values]
-    rest = F.coalesce(F.sum(F.when(~F.col("category").isin(values), F.col("cell"))), F.lit(0).cast(kind))
-    return cells.groupBy(CARD).agg(*own, rest.alias(REMAINDER))
+    if remainder:
+        rest = F.sum(F.when(~F.col("category").isin(values), F.col("cell")))
+        own.append(F.coalesce(rest, F.lit(0).cast(kind)).alias(REMAINDER))
+    return cells.groupBy(CARD).agg(*own)
 
 
 def usage_share(matrix: DataFrame) -> DataFrame:

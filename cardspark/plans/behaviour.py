@@ -30,5 +30,5 @@ def habits(house: Warehouse, start_ym: str, end_ym: str) -> DataFrame:
 
 def category_use(house: Warehouse, level: str, start_ym: str, end_ym: str, values: list[str] | None = None) -> DataFrame:
     """Use of UNIVERS or SOUS_UNIVERS as shares, with its summary."""
-    matrix = usage(house.table("pos"), level, "amount_paid", Period.months(start_ym, end_ym), values)
+    matrix = usage(house.table("pos"), level, "amount_paid", Period.months(start_ym, end_ym), values, remainder=values is not None)
     return usage_summary(matrix, level)

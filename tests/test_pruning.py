@@ -56,7 +56,7 @@ def test_usage_has_no_cap_and_loses_nothing(spark):
     assert cells.count() == 1501
     assert values(cells.filter("category IN ('c0007', 'rare')"), "CardHolderID", "cell", "total", "share") == [
         ("1", 1.0, 1500.0, 1 / 1500), ("2", 3.0, 3.0, 1.0)]
-    matrix = usage.usage(pos, "level", "amount_paid", values=["c0001"])
+    matrix = usage.usage(pos, "level", "amount_paid", values=["c0001"], remainder=True)
     assert values(matrix, "CardHolderID", "c0001", usage.REMAINDER) == [("1", 1.0, 1499.0), ("2", 0.0, 3.0)]
     assert values(usage.usage_share(matrix), "CardHolderID", "c0001_Prop") == [("1", 1 / 1500), ("2", 0.0)]
 
