@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from cardspark.llm import exchange as ex
 from cardspark.llm import kernels as k
-from cardspark.llm.shingles import SHINGLE, shingle_sets
+from cardspark.llm.shingles import shingle_sets
 from cardspark.operators.components import components
 from cardspark.session import written
 
@@ -41,6 +41,7 @@ BITS = 1024
 WORDS = (BITS + BINS) // 64
 SIGMAS = 4.0
 BLOCK = 4096
+_SIGNED_ROWS = 2048  # texts signed at a time, so that many short ones take no more memory than a few long ones
 
 _random = np.random.Generator(np.random.PCG64(7))
 _MULTIPLIERS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,6 +90,11 @@ def _longs(matrix: np.ndarray) -> pa.Array:
 
 
 def _sign(docs: pa.Table) -> pa.Table:
+    parts = [docs.slice(i, _SIGNED_ROWS) for i in range(0, max(1, docs.num_rows), _SIGNED_ROWS)]
+    return pa.concat_tables([_sign_part(p) for p in parts])
+
+
+def _sign_part(docs: pa.Table) -> pa.Table:
     s = signatures(docs.column("__text"))
     return pa.table({
         "__row": docs.column("__row"), "chunk": docs.column("chunk"),
