@@ -48,6 +48,9 @@ class _Chunk:
 
     def ask(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(keys, repeated here, smallest key of each window) for the short windows that stand for the candidates."""
+        if self.count == 0:
+            none = np.zeros(0, np.uint64)
+            return none, none > 0, none
         short = k.window_hashes(self._known[1], length, self._known)
         self._known = (length, short)
         width = self.size - length + 1
@@ -59,8 +62,9 @@ class _Chunk:
             chosen = short[(most == short) & (most > 0)]
         else:
             chosen = least[self.alive]
-        keys, counts = np.unique(chosen, return_counts=True)
-        return keys, counts > 1, least
+        # smallest fingerprints crowd at the low end; scrambled again they fill the bucket ranges evenly
+        keys, counts = np.unique(k.mix(chosen), return_counts=True)
+        return keys, counts > 1, k.mix(least)
 
     def settle(self, keys: np.ndarray, repeated: np.ndarray, least: np.ndarray) -> None:
         """Keep the candidates whose key is repeated."""
