@@ -30,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from cardspark.llm import exchange as ex
 from cardspark.llm import kernels as k
 
 SIZE = 50
 SAMPLE = 24
-_SLICE = 1 << 19
+_SLICE = 1 << 15  # positions at a time: their 8-byte intermediates stay in the cache of a core
 
 
 class Family:
@@ -135,7 +136,7 @@ class _Batch:
                 new[0] = False
             at = np.flatnonzero(new)
             starts.append(at + low - back)
-            keys.append(least[at])
+            keys.append(k.mix(least[at]))  # smallest fingerprints crowd at the low end, scrambled ones do not
         self.start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
         self.key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         doc = np.searchsorted(self.offsets, self.start, "right") - 1
@@ -248,10 +249,16 @@ def _answered(sent: pa.Table, parts: list[tuple], flags: list[tuple[np.ndarray,
     return ex.answer_table([(p[0], p[1], bucket, ex.packed(*f)) for p, f in zip(parts, flags, strict=True)])
 
 
-_RESULT = "__row {id}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+def _whole_characters(gone: np.ndarray, buf: np.ndarray) -> np.ndarray:
+    """The flagged bytes without those of characters that are flagged in part."""
+    if not gone.any():
+        return gone
+    lead = np.flatnonzero((buf & 0xC0) != 0x80)
+    whole = np.logical_and.reduceat(gone, lead)
+    return np.repeat(whole, np.diff(np.append(lead, len(buf))))
 
 
-def _cut(docs: pa.Table, answers: pa.Table, **shape: int) -> pa.Table:
+def _cut(docs: pa.Table, answers: pa.Table, characters: bool, **shape: int) -> pa.Table:
     batch = _Batch(docs, **shape)
     batch.ask_keys()
     batch.settle_keys(answers)
@@ -264,6 +271,8 @@ def _cut(docs: pa.Table, answers: pa.Table, **shape: int) -> pa.Table:
     for at in batch.gone:
         flags[at] = True
     gone = k.cover(flags, size)[:n] if len(flags) else np.zeros(n, bool)
+    if characters:
+        gone = _whole_characters(gone, batch.buf)
     at = batch.offsets.tolist()
     n_bytes, n_removed, spans, kept = [], [], [], []
     for i in range(docs.num_rows):
@@ -275,7 +284,7 @@ def _cut(docs: pa.Table, answers: pa.Table, **shape: int) -> pa.Table:
         spans.append([{"start": a, "end": b} for a, b in edges])
         kept.append((part[~here] if edges else part).tobytes())
     return pa.table({
-        "__row": docs.column("__row"),
+        **{c: docs.column(c) for c in docs.column_names if c not in ("__text", "chunk")},
         "n_bytes": pa.array(n_bytes, pa.int64()),
         "n_removed": pa.array(n_removed, pa.int64()),
         "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -284,7 +293,8 @@ def _cut(docs: pa.Table, answers: pa.Table, **shape: int) -> pa.Table:
 
 
 def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size: int = SIZE,
-                 sample: int = SAMPLE, chunk_bytes: int = ex.CHUNK_BYTES) -> DataFrame:
+                 sample: int = SAMPLE, chunk_bytes: int = ex.CHUNK_BYTES, characters: bool = False,
+                 rest: bool = False) -> DataFrame:
     """Per document: id, n_bytes, n_removed, removed `spans` of byte numbers [start, end), and the `kept` bytes.
 
     A byte goes if some string of `size` bytes that covers it also starts in a
@@ -293,13 +303,17 @@ def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     each is a maximal run of removed bytes. A null text is empty; texts of
     fewer than `size` bytes stay whole; rows with the same id are one another's
     equals, so neither loses bytes to the other; a null id counts as larger than
-    all others. `kept` may cut a character in two, therefore it is binary.
-    Other columns are ignored; no rows give no rows.
+    all others. `kept` may cut a character in two, therefore it is binary; with
+    `characters`, only characters go that are removed as a whole, and `kept` is
+    UTF-8. Other columns are ignored, or with `rest` returned as the struct
+    `rest`; no rows give no rows.
     """
     if not 8 <= sample <= size:
         raise ValueError("sample must be between 8 and size")
     n = ex.chunk_count(docs, text_col, chunk_bytes)
-    base = docs.select(F.col(f"`{id_col}`").alias("__row"), F.col(f"`{text_col}`").alias("__text"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    base = docs.select(F.col(f"`{id_col}`").alias("__row"), F.col(f"`{text_col}`").alias("__text"),
+                       *([F.struct(*others).alias("rest")] if rest and others else []))
     chunked = base.select("*", ex.range_chunk(base, "__row", n)).groupBy("chunk")
     shape = {"size": size, "sample": sample, "n_buckets": n}
 
@@ -310,6 +324,10 @@ def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     for level, answer in ((1, _answer_blocks), (2, _answer_strings)):
         sent = chunked.cogroup(answers.groupBy("chunk")).applyInArrow(ex.on_pair(_send, level=level, **shape), ex.SENT)
         answers = answers.unionByName(answered(sent, answer))
-    result = _RESULT.format(id=base.schema[0].dataType.simpleString())
-    out = chunked.cogroup(answers.groupBy("chunk")).applyInArrow(ex.on_pair(_cut, **shape), result)
+    result = StructType([f for f in base.schema if f.name != "__text"])
+    span = StructType().add("start", "long").add("end", "long")
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("spans", ArrayType(span)), ("kept", "binary")):
+        result = result.add(name, kind)
+    out = chunked.cogroup(answers.groupBy("chunk")).applyInArrow(
+        ex.on_pair(_cut, characters=characters, **shape), result)
     return out.withColumnRenamed("__row", id_col)
