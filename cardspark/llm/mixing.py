@@ -58,20 +58,21 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 def _queued(docs: DataFrame, plan: DataFrame, digits: int, most: int) -> DataFrame:
     """Rows of `docs` (source, size, key, …) with the finish time of each of their repeats."""
-    ranged = docs.withColumn("range", F.substring("key", 1, digits))
-    sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("source", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
-    offsets = offsets.join(plan, offsets["source"].eqNullSafe(plan["source"])).select(
-        offsets["source"].alias("s"), F.col("range").alias("r"), "offset", "source_size", "rank", "target")
-    joined = ranged.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r"))).drop("s", "r")
-    upto = Window.partitionBy("source", "range").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0)
+    # a key without nulls, so that the join and the window are dealt alike and share one shuffle
+    named = F.concat(F.when(F.col("source").isNull(), "").otherwise("s"), F.coalesce("source", F.lit("")))
+    ranged = docs.withColumns({"queue": named, "range": F.substring("key", 1, digits)}).drop("source")
+    sums = ranged.groupBy("queue", "range").agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("queue").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("queue", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset")).join(
+        plan.withColumn("queue", named).drop("source"), "queue")
+    joined = ranged.join(offsets, ["queue", "range"])
+    upto = Window.partitionBy("queue", "range").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0)
     emitted = F.col("offset") + F.sum("size").over(upto)
     finish = [
         F.when(F.col("target") > 0, (emitted + F.col("source_size") * c) / F.col("target")).otherwise(F.lit(0.0))
         for c in range(most)
     ]
-    return joined.withColumn("finish", F.array(*finish)).drop("range", "offset")
+    return joined.withColumn("finish", F.array(*finish)).drop("queue", "range", "offset")
 
 
 def _cut(queue: DataFrame, budget: float) -> tuple | None:
@@ -116,7 +117,7 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     new = ["size", "source_size", "target", "taken"]
     kept = [c for c in docs.columns if c not in new]
     packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(f"`{source_col}`").alias("source"),
+        *[F.col(f"`{c}`").alias(f"__{c}") for c in kept], F.col(f"`{source_col}`").alias("source"),
         F.col(f"`{id_col}`").alias("id"), word_count(F.col(f"`{text_col}`")).alias("size"),
         F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))).alias("key"))
     light = written(packed.select("source", "id", "size", "key"), "sizes")
@@ -139,5 +140,5 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
                       place[1].alias("key"), place[2].alias("id")) <= end).cast("int")
             for c in range(most))
     return queued.select(
-        *[F.col("doc")[c].alias(c) for c in kept], "size", "source_size", "target",
+        *[F.col(f"`__{c}`").alias(c) for c in kept], "size", "source_size", "target",
         (F.col("size") * times).alias("taken"))
