@@ -13,6 +13,11 @@ SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, chunk string, level int, node string"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(5)
@@ -37,7 +42,6 @@ def texts():
 
 @pytest.fixture(scope="module")
 def docs(spark, texts):
-    ship(spark)
     # extra columns named like internal ones
     return spark.createDataFrame([(i, t, "x", 1, "y") for i, t in texts], SCHEMA).repartition(3)
 
