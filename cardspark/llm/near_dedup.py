@@ -23,6 +23,9 @@ links. A pair is lost only if no band meets, or if its sketch errs by more than
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,7 +38,8 @@ from cardspark.operators.components import components
 from cardspark.session import written
 
 PERCENT = 85
-BANDS, ROWS = 24, 5
+ROWS = 5
+MISS = 8e-7  # probability that no band of a pair at the threshold meets
 BINS = 1024
 BITS = 1024
 WORDS = (BITS + BINS) // 64
@@ -43,11 +47,20 @@ SIGMAS = 4.0
 BLOCK = 4096
 _SIGNED_ROWS = 2048  # texts signed at a time, so that many short ones take no more memory than a few long ones
 
-_random = np.random.Generator(np.random.PCG64(7))
-_MULTIPLIERS = _random.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+def band_count(percent: int, rows: int = ROWS) -> int:
+    """Fewest bands of `rows` that miss a pair of similarity `percent` / 100 with a probability of at most `MISS`."""
+    meets = (percent / 100) ** rows
+    return 1 if meets >= 1 else math.ceil(math.log(MISS) / math.log1p(-meets))
+
+
+@lru_cache
+def _multipliers(n: int) -> np.ndarray:
+    random = np.random.Generator(np.random.PCG64(7))
+    return random.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def signatures(texts: pa.ChunkedArray | pa.Array, bands: int = BANDS, rows: int = ROWS) -> dict[str, np.ndarray]:
+def signatures(texts: pa.ChunkedArray | pa.Array, bands: int, rows: int = ROWS) -> dict[str, np.ndarray]:
     """n, f1, f2 (set fingerprint), m (samples), sketch (odd and occupied bits as uint64 words) and bands of each text."""
     values, first = shingle_sets(texts)
     n_docs = len(first) - 1
@@ -61,10 +74,11 @@ def signatures(texts: pa.ChunkedArray | pa.Array, bands: int = BANDS, rows: int
     if len(full):
         f1[full] = np.add.reduceat(k.mix(values), at)
         f2[full] = np.add.reduceat(k.mix(values ^ np.uint64(0x5851F42D4C957F2D)), at)
+        multipliers = _multipliers(bands * rows)
         for band in range(bands):
             key = np.full(len(full), band, np.uint64)
             for row in range(rows):
-                key = k.pair(key, np.minimum.reduceat(values * _MULTIPLIERS[band * rows + row], at))
+                key = k.pair(key, np.minimum.reduceat(values * multipliers[band * rows + row], at))
             keys[full, band] = key
         of = np.repeat(np.arange(n_docs), n)
         bins = (values >> np.uint64(64 - (BINS - 1).bit_length())).astype(np.int64)
@@ -89,13 +103,13 @@ def _longs(matrix: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(flat, matrix.shape[1]).cast(pa.list_(pa.int64()))
 
 
-def _sign(docs: pa.Table) -> pa.Table:
+def _sign(docs: pa.Table, percent: int = PERCENT) -> pa.Table:
     parts = [docs.slice(i, _SIGNED_ROWS) for i in range(0, max(1, docs.num_rows), _SIGNED_ROWS)]
-    return pa.concat_tables([_sign_part(p) for p in parts])
+    return pa.concat_tables([_sign_part(p, band_count(percent)) for p in parts])
 
 
-def _sign_part(docs: pa.Table) -> pa.Table:
-    s = signatures(docs.column("__text"))
+def _sign_part(docs: pa.Table, bands: int) -> pa.Table:
+    s = signatures(docs.column("__text"), bands)
     return pa.table({
         "__row": docs.column("__row"), "chunk": docs.column("chunk"),
         "n": pa.array(s["n"], pa.int64()), "f1": pa.array(s["f1"].view(np.int64)), "f2": pa.array(s["f2"].view(np.int64)),
@@ -340,8 +354,9 @@ def near_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     id is never the id of a component of others. Other columns are ignored; no
     rows give no rows.
 
-    Candidate bands miss a pair at the threshold with probability
-    (1 - 0.85^5)^24, about 8e-7, and less above it. The sketch test errs by more
+    Candidate bands, as many as `percent` needs, miss a pair at the threshold
+    with probability `MISS` at most, and less above it: 24 bands of 5 at 0.85,
+    36 at 0.80. The sketch test errs by more
     than 4 standard deviations for about 3 pairs in 100,000 at the threshold.
     """
     chunks = ex.chunk_count(docs, text_col, chunk_bytes)
@@ -349,7 +364,7 @@ def near_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     kind = base.schema[0].dataType.simpleString()
     signed = written(
         base.select("*", ex.hashed_chunk(chunks, "__row", "__text")).groupBy("chunk").applyInArrow(
-            ex.on_group(_sign), _SIGNED.format(id=kind)), "signed")
+            ex.on_group(_sign, percent=percent), _SIGNED.format(id=kind)), "signed")
     sets = signed.filter(F.col("n") > 0)
     firsts = sets.groupBy("f1", "f2").agg(F.min("__row").cast("long").alias("node")).filter("node IS NOT NULL")
     nodes = written(

@@ -14,6 +14,9 @@ from cardspark.llm import decontamination, mixing, near_dedup, suffix_dedup, tox
 from cardspark.llm.shipping import ship
 from cardspark.session import written
 
+#: five-word Jaccard similarity of near copies; 85 is the threshold of op7 alone
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half."""
@@ -24,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; of rows with equal id and text, one."""
     ship(spark)
-    kept = near_dedup.near_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = near_dedup.near_dedup(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
 
 

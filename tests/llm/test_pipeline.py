@@ -97,3 +97,31 @@ def test_stages_on_nothing(spark, folder):
     docs = spark.createDataFrame([], SCHEMA)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, path).collect() == [], name
+
+
+def test_near_copies_from_080(spark, folder):
+    """Pairs of similarity 0.80 to 0.85, and chains held together only by such links, at the threshold itself too."""
+    rng = random.Random(5)
+    path, _, _ = folder
+    rows = []
+    for i in range(0, 60, 3):
+        text = [f"v{rng.randrange(10**6)}" for _ in range(94)]  # 90 shingles
+        rows.append((i, " ".join(text)))
+        for j in (1, 2):  # two edits far apart change 10 of them: 80 equal of 100 different ones
+            text = list(text)
+            text[10 * j], text[10 * j + 40] = f"x{i}", f"y{i + j}"
+            rows.append((i + j, " ".join(text)))
+    want = {i for i, (_, _, keep) in plain_components(rows, 80).items() if keep}
+    strict = {i for i, (_, _, keep) in plain_components(rows, 85).items() if keep}
+    assert want == set(range(0, 60, 3)) and len(strict) == 60
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), "x") for i, t in rows], SCHEMA)
+    out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, path)
+    assert {r.doc_id for r in out.collect()} == want
+
+
+def test_bands_follow_the_threshold():
+    from cardspark.llm import near_dedup
+    for percent in (50, 80, 85, 95, 100):
+        bands = near_dedup.band_count(percent)
+        assert (1 - (percent / 100) ** near_dedup.ROWS) ** bands <= near_dedup.MISS
+    assert near_dedup.band_count(85) == 24 and near_dedup.band_count(80) == 36
