@@ -1,23 +1,32 @@
 """Toxicity: nearest labelled examples by TF-IDF cosine, found with block-max inverted indexes.
 
-The examples are at most `examples` labelled texts. Their vocabulary consists of
-the at most `vocabulary` terms (words and word beginnings) that occur in toxic
-examples more often than chance allows; term frequencies come from the
-examples, document frequencies from all documents. The index has one posting
-list per term, with the largest weight in each block of examples. A document
-looks at the blocks in the order of their bounds and stops when no further
-block can reach its nearest examples so far, so the neighbours are exact.
+The examples are at most `examples` labelled texts. Their terms (words and word
+beginnings) are all indexed; term frequencies come from the examples, document
+frequencies from all documents. A term that no example has counts towards the
+length of a text as if no other document had it, so its frequency is not looked
+up. Terms that toxic examples have more often than chance allows weigh
+`LEAN` times their idf, because among plain TF-IDF weights the subject of a text
+outweighs a few insults; all others weigh their idf. The index has one posting list per term. Lists of more than 1 / `LONG` of
+the examples, at most `LONG_LISTS` of them, are laid out by block with the
+largest weight in each; the others are shorter than their block maxima are
+worth and read whole. A text looks at the blocks with the highest bounds, then
+at those whose bound reaches its nearest examples so far, so the neighbours are
+exact. Texts are searched in batches that share the reading of a block.
 
 The vote weighs each neighbour by its squared similarity and the share of toxic
 examples by `PRIOR`, so a text without near examples gets that share. Texts
-without any vocabulary term have the same distance to all examples; their score
-is the share of toxic ones among the examples without such a term.
+without any indexed term have the same distance to all examples; their score
+is the share of toxic ones among the examples without a term.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,98 +34,268 @@ from cardspark.llm import labelled
 from cardspark.llm import terms as t
 
 EXAMPLES = 12_000
-VOCABULARY = 512
 NEIGHBOURS = 15
 BLOCK = 128
+FIRST_BLOCKS = 2
+LONG, LONG_LISTS = 24, 2048
+BATCH = 128
 PRIOR = 0.5
-Z = 4.0
+Z, LEAN = 4.0, 16.0
 EVIDENCE = 3
+_BITS = 20
+
+
+class Vocabulary:
+    """Sorted terms, found by their leading bits."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        edges = np.arange(1 << _BITS, dtype=np.uint64) << np.uint64(64 - _BITS)
+        self.start = np.searchsorted(terms, edges).astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """Index of each term, -1 if it is not there."""
+        out = np.full(len(terms), -1, np.int64)
+        if not len(self):
+            return out
+        at = self.start[(terms >> np.uint64(64 - _BITS)).astype(np.int64)].astype(np.int64)
+        open_ = np.flatnonzero(at < len(self))
+        while len(open_):
+            here = self.terms[at[open_]]
+            same = here == terms[open_]
+            out[open_[same]] = at[open_[same]]
+            open_ = open_[here < terms[open_]]
+            at[open_] += 1
+            open_ = open_[at[open_] < len(self)]
+        return out
+
+    def counted(self, terms: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, index, count) for the terms that are in it, by document."""
+        at = self.find(terms)
+        known = at >= 0
+        joint, counts = np.unique(of[known] * len(self) + at[known], return_counts=True)
+        return joint // max(1, len(self)), joint % max(1, len(self)), counts
+
+    def beyond(self, terms: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+        """Sum of the squared frequency weights of the terms that are not in it, for each of `n` documents."""
+        out = self.find(terms) < 0
+        terms, of = terms[out], of[out]
+        order = np.lexsort((terms, of))
+        terms, of = terms[order], of[order]
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (of[1:] != of[:-1])
+        first = np.flatnonzero(new)
+        weight = 1 + np.log(np.diff(first, append=len(terms)))
+        return np.bincount(of[first], weight * weight, n)
+
+
+class Lists:
+    """Posting lists: long ones as rows of weights with block maxima, the others as (example, weight)."""
+
+    def __init__(self, n_terms: int, n_examples: int, at: np.ndarray, of: np.ndarray, weights: np.ndarray):
+        self.size = -(-n_examples // BLOCK) * BLOCK
+        order = np.lexsort((of, at))
+        at, of, weights = at[order], of[order], weights[order].astype(np.float32)
+        length = np.bincount(at, minlength=n_terms)
+        longest = np.argsort(-length, kind="stable")[:LONG_LISTS]
+        longest = longest[length[longest] > n_examples // LONG]  # the most frequent term first
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[longest] = np.arange(len(longest))
+        self.n_long = len(longest)
+        self.first = np.searchsorted(at, np.arange(n_terms + 1))
+        self.example, self.weight = of.astype(np.uint16 if self.size < 1 << 16 else np.int32), weights
+
+    def __getstate__(self) -> dict:
+        """Without the rows, which each worker lays out itself."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "most")}
+
+    @cached_property
+    def rows(self) -> np.ndarray:
+        out = np.zeros((self.n_long, self.size), np.float32)
+        for term in np.flatnonzero(self.row >= 0).tolist():
+            a, b = self.first[term], self.first[term + 1]
+            out[self.row[term], self.example[a:b]] = self.weight[a:b]
+        return out
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        return self.rows.reshape(self.n_long, self.size // BLOCK, BLOCK).max(2)
+
+    def leading(self, at: np.ndarray, n: int = 8) -> list[int]:
+        """The most frequent terms as rows."""
+        row = self.row[at]
+        return np.sort(row[row >= 0])[:n].tolist()
+
+    def short(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the short lists of the terms add to each example."""
+        length = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(length)
+        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[at] - ends + length, length)
+        return np.bincount(self.example[where], self.weight[where] * np.repeat(w.astype(np.float32), length), self.size)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        """The lists of some terms as rows of weights."""
+        out = np.zeros((len(at), self.size), np.float32)
+        for i, term in enumerate(np.asarray(at).tolist()):
+            a, b = self.first[term], self.first[term + 1]
+            out[i, self.example[a:b]] = self.weight[a:b]
+        return out
 
 
 class Index:
     """Posting lists of the examples, with their block maxima."""
 
-    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple]):
-        """`rows`: (id, label, term indexes, counts) of each example."""
-        self.vocabulary, self.idf = vocabulary, idf
-        rows = sorted(rows, key=lambda r: (r[2][:1], r[2], str(r[0])))  # like examples into the same blocks
-        bare = [r[1] for r in rows if not r[2]]
+    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple], beyond: float = 0.0):
+        """`rows`: (id, label, term indexes, counts) of each example; `beyond`: idf of terms of no example."""
+        self.vocabulary, self.idf, self.beyond = Vocabulary(vocabulary), idf, beyond
+        bare = [r[1] for r in rows if not len(r[2])]
         self.share = (sum(r[1] for r in rows) + 1) / (len(rows) + 2)
         self.bare = (sum(bare) + self.share) / (len(bare) + 1)
-        rows = [r for r in rows if r[2]]
+        rows = [r for r in rows if len(r[2])]
+        every = np.concatenate([np.zeros(0, np.int64), *[np.asarray(r[2], np.int64) for r in rows]])
+        rank = np.empty(len(vocabulary), np.int64)
+        rank[np.argsort(-np.bincount(every, minlength=len(vocabulary)), kind="stable")] = np.arange(len(vocabulary))
+        # like examples into the same blocks: by their most frequent terms
+        rows = sorted(rows, key=lambda r: (np.sort(rank[np.asarray(r[2], np.int64)])[:16].tolist(), str(r[0])))
         self.ids = [r[0] for r in rows]
         self.labels = np.array([r[1] for r in rows], np.float64)
-        size = -(-len(rows) // BLOCK) * BLOCK
-        self.postings = np.zeros((len(vocabulary), size), np.float32)
-        for i, (_, _, at, counts) in enumerate(rows):
-            self.postings[at, i] = self.weights(np.array(at), np.array(counts))
-        self.most = self.postings.reshape(len(vocabulary), -1, BLOCK).max(2) if size else np.zeros((len(vocabulary), 0))
+        weights = [self.weights(np.asarray(r[2], np.int64), np.asarray(r[3])) for r in rows]
+        at = np.concatenate([np.zeros(0, np.int64), *[np.asarray(r[2], np.int64) for r in rows]])
+        self.postings = Lists(len(vocabulary), len(rows), at, np.repeat(np.arange(len(rows)), [len(w) for w in weights]),
+                              np.concatenate([np.zeros(0), *weights]))
 
-    def weights(self, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def weights(self, at: np.ndarray, counts: np.ndarray, beyond: float = 0.0) -> np.ndarray:
+        """Weights of a text's terms; `beyond`: squared frequency weights of its terms of no example."""
         w = (1 + np.log(counts)) * self.idf[at]
-        return w / np.sqrt((w * w).sum())
+        return w / np.sqrt((w * w).sum() + beyond * self.beyond**2)
+
+    def search(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, similarities) of the nearest ones of each (terms, weights), ties by position."""
+        lists, n = self.postings, len(texts)
+        blocks = lists.size // BLOCK
+        if not blocks:
+            return [(np.zeros(0, np.int64), np.zeros(0, np.float32))] * n
+        long, sims = np.zeros((n, lists.n_long), np.float32), np.empty((n, blocks, BLOCK), np.float32)
+        for i, (at, w) in enumerate(texts):
+            row = lists.row[at]
+            far = row >= 0
+            long[i, row[far]] = w[far]
+            sims[i] = lists.short(at[~far], w[~far]).reshape(blocks, BLOCK)
+        used = np.flatnonzero(long.any(0))
+        long, rows = long[:, used], lists.rows[used]
+        bounds = (long @ lists.most[used] + sims.max(2)) * np.float32(1 + 1e-5)
+        seen = np.zeros((n, blocks), bool)
+
+        def look(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)).tolist():
+                some = np.flatnonzero(wanted[:, b])
+                sims[some, b] += long[some] @ rows[:, b * BLOCK : (b + 1) * BLOCK]
+            seen[wanted] = True
+
+        top = np.argsort(-bounds, 1, kind="stable")[:, :FIRST_BLOCKS]
+        wanted = np.zeros((n, blocks), bool)
+        np.put_along_axis(wanted, top, True, 1)
+        look(wanted)
+        near = sims[np.arange(n)[:, None], top].reshape(n, -1)
+        least = np.partition(near, near.shape[1] - NEIGHBOURS, 1)[:, near.shape[1] - NEIGHBOURS]
+        look(~seen & (bounds > 0) & (bounds >= least[:, None]))
+        sims[~seen] = 0
+        out = []
+        for flat, low in zip(sims.reshape(n, -1), (least - np.float32(1e-5)).tolist(), strict=True):
+            found = np.flatnonzero(flat > max(low, 0))
+            found = found[np.lexsort((found, -np.round(flat[found], 6)))[:NEIGHBOURS]]
+            out.append((found, flat[found]))
+        return out
 
     def nearest(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, similarities) of the nearest ones, ties by position."""
-        w = self.weights(at, counts).astype(np.float32)
-        bounds = w @ self.most[at]
-        order = np.argsort(-bounds, kind="stable")
-        bounds = bounds[order]
-        found, sims, step, i = np.zeros(0, np.int64), np.zeros(0, np.float32), 4, 0
-        while i < len(order) and bounds[i] > 0:
-            if len(sims) >= NEIGHBOURS and bounds[i] * (1 + 1e-6) < sims[NEIGHBOURS - 1]:
-                break
-            blocks = order[i : i + step]
-            i, step = i + step, 2 * step
-            here = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            values = w @ self.postings[np.ix_(at, here)]
-            near = values > 0
-            found, sims = np.concatenate([found, here[near]]), np.concatenate([sims, values[near]])
-            best = np.lexsort((found, -sims))[:NEIGHBOURS]
-            found, sims = found[best], sims[best]
-        return found, sims
+        """(examples, similarities) of the nearest ones of a text, ties by position."""
+        return self.search([(at, self.weights(at, counts))])[0]
 
     def score(self, texts: pa.Array) -> dict[str, pa.Array]:
         found, of, n = t.word_terms(texts)
-        doc, at, counts = t.counted(found, of, self.vocabulary)
+        doc, at, counts = self.vocabulary.counted(found, of)
+        beyond = self.vocabulary.beyond(found, of, n)
         scores, evidence = np.full(n, self.bare), [[] for _ in range(n)]
         first = np.flatnonzero(np.diff(doc, prepend=-1)) if len(doc) else np.zeros(0, np.int64)
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=True) if len(first) else ():
-            near, sims = self.nearest(at[a:b], counts[a:b])
-            weights = sims.astype(np.float64) ** 2
-            i = int(doc[a])
-            scores[i] = (weights @ self.labels[near] + PRIOR * self.share) / (weights.sum() + PRIOR)
-            evidence[i] = [{"id": str(self.ids[e]), "similarity": float(s), "toxic": int(self.labels[e])}
-                           for e, s in zip(near[:EVIDENCE].tolist(), sims[:EVIDENCE].tolist(), strict=True)]
+        ranges = list(zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=True)) if len(first) else []
+        # texts that share frequent terms into the same batches
+        ranges.sort(key=lambda r: self.postings.leading(at[r[0] : r[1]]))
+        for start in range(0, len(ranges), BATCH):
+            batch = ranges[start : start + BATCH]
+            texts_in = [(at[a:b], self.weights(at[a:b], counts[a:b], beyond[doc[a]])) for a, b in batch]
+            for (a, _), (near, sims) in zip(batch, self.search(texts_in), strict=True):
+                weights = sims.astype(np.float64) ** 2
+                i = int(doc[a])
+                scores[i] = (weights @ self.labels[near] + PRIOR * self.share) / (weights.sum() + PRIOR)
+                evidence[i] = [{"id": str(self.ids[e]), "similarity": float(s), "toxic": int(self.labels[e])}
+                               for e, s in zip(near[:EVIDENCE].tolist(), sims[:EVIDENCE].tolist(), strict=True)]
         kind = pa.list_(pa.struct([("id", pa.string()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
         return {"score": pa.array(np.clip(scores, 0, 1)), "evidence": pa.array(evidence, kind)}
 
 
+def document_frequency(docs: DataFrame, words: np.ndarray, text_col: str = "text") -> tuple[np.ndarray, int]:
+    """(number of documents with each of the sorted words, number of documents), over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n = Vocabulary(shared.value), 0
+        total = np.zeros(len(known), np.int64)
+        for batch in batches:
+            for a, b in t.slices(batch.column("text")):
+                found, of, _ = t.word_terms(batch.column("text").slice(a, b - a))
+                total += np.bincount(known.counted(found, of)[1], minlength=len(known))
+                n += b - a
+        at = np.flatnonzero(total)
+        yield pa.record_batch({"at": pa.array(np.append(at, -1), pa.int64()),
+                               "n": pa.array(np.append(total[at], n), pa.int64())})
+    parts = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(count, "at long, n long")
+    found = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # one row per term
+    at, n = (found.column(c).to_numpy() for c in ("at", "n"))
+    out = np.zeros(len(words), np.int64)
+    out[at[at >= 0]] = n[at >= 0]
+    return out, int(n[at < 0].sum())
+
+
+def leaning(positive: np.ndarray, negative: np.ndarray, positives: int, negatives: int) -> np.ndarray:
+    """Factor of each term's idf: `LEAN` if toxic examples have it more often than chance allows, else 1."""
+    if not positives or not negatives:
+        return np.ones(len(positive))
+    share = (positive + negative) / (positives + negatives)
+    z = (positive / positives - negative / negatives) / np.sqrt(
+        np.maximum(share * (1 - share), 1e-12) * (1 / positives + 1 / negatives))
+    return np.where((z >= Z) & (positive >= 3), LEAN, 1.0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", id_col: str = "doc_id",
-        examples: int = EXAMPLES, vocabulary: int = VOCABULARY) -> Index:
+        examples: int = EXAMPLES) -> Index:
     """Index of the labelled texts; without labelled texts every score is one half."""
     rows = labelled.sample(docs, labels, label, examples, text_col, id_col)
+    terms = labelled.term_classes(rows, t.word_terms).toArrow()  # of at most `examples` texts
+    words = terms.column("term").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    words = words[order]
     totals = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
-    positives, negatives = totals.get(1, 0), sum(v for c, v in totals.items() if c != 1)
-    if not positives or not negatives:
-        words = np.zeros(0, np.uint64)
-    else:
-        share = (F.col("positive") + F.col("negative")) / F.lit(positives + negatives)
-        z = (F.col("positive") / positives - F.col("negative") / negatives) / F.sqrt(
-            F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / positives + 1 / negatives))
-        best = labelled.term_classes(rows, t.word_terms).filter((z >= Z) & (F.col("positive") >= 3)).orderBy(
-            z.desc(), "term").limit(vocabulary).select("term").collect()
-        words = np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
-    frequency, n = labelled.document_frequency(docs, words, t.word_terms, text_col) if len(words) else (np.zeros(0), 0)
+    lean = leaning(*(terms.column(c).to_numpy()[order] for c in ("positive", "negative")), totals.get(1, 0),
+                   sum(v for c, v in totals.items() if c != 1))
+    frequency, n = document_frequency(docs, words, text_col) if len(words) else (np.zeros(0), 0)
     idf = np.log((n + 1) / (frequency + 1)) + 1
-    counted = labelled.example_counts(rows, words, t.word_terms)
-    return Index(words, idf, [tuple(r) for r in counted.collect()])  # at most `examples` short rows
+    counted = labelled.example_counts(rows, words, t.word_terms).toArrow()
+    at, counts = (np.concatenate([np.zeros(0, np.int32), *[x.flatten().to_numpy() for x in counted.column(c).chunks]])
+                  for c in ("at", "count"))
+    sizes = pc.list_value_length(counted.column("at")).to_numpy()
+    ends = np.cumsum(sizes)
+    ids, classes = counted.column("row").to_pylist(), counted.column("label").to_pylist()
+    return Index(words, idf * lean, [(i, c, at[b - s : b], counts[b - s : b]) for i, c, b, s in
+                              zip(ids, classes, ends.tolist(), sizes.tolist(), strict=True)], np.log((n + 1) / 2) + 1)
 
 
 def toxicity(docs: DataFrame, index: Index, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per document: id, held_out, score (0 to 1), predicted (1 from 0.5 on) and evidence, the nearest examples.
 
-    Null and empty texts score as texts without a vocabulary term. Rows are
+    Null and empty texts score as texts without an indexed term. Rows are
     scored one by one by their text alone; other columns are ignored; no rows
     give no rows.
     """

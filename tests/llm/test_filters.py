@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from fractions import Fraction
 
 import pytest
@@ -127,6 +128,29 @@ def test_nearest_examples_are_exact(session, corpus):
         assert np.allclose(np.sort(sims)[::-1], want, rtol=1e-5) and np.allclose(every[found], sims, rtol=1e-5)
 
 
+def test_every_term_is_indexed(session):
+    """Copies of toxic examples whose words no other example has; one listed word in a long clean text."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:240]
+    texts = {i: " ".join([*rng.choices(words, k=30), *([f"insult{i}x"] if n < 40 else [])]) for n, i in enumerate(ids)}
+    toxic = set(ids[:40])
+    labels = [(i, int(i in toxic)) for i in ids]
+    for i in [i for i in range(1000, 1020) if zlib.crc32(str(i).encode()) % 5][:5]:
+        texts[i] = "vile"
+        labels.append((i, 1))
+    copies = {5000 + i: texts[i] for i in ids}
+    long = {9000: " ".join([*rng.choices(words, k=400), "vile"])}
+    docs = session.createDataFrame(list({**texts, **copies, **long}.items()), "doc_id long, text string").repartition(3)
+    index = toxicity.fit(docs, session.createDataFrame(labels, "doc_id long, toxic int"))
+    out = {r.doc_id: r for r in toxicity.toxicity(docs, index).collect()}
+    for i in ids:
+        near = out[5000 + i].evidence[0]
+        assert (near.id, near.toxic) == (str(i), int(i in toxic)) and abs(near.similarity - 1) < 1e-5
+        assert out[5000 + i].predicted == int(i in toxic)
+    assert all(e.similarity < 0.9 for e in out[9000].evidence)
+
+
 def test_quality(corpus):
     docs, labels = corpus
     out = quality.quality(docs, quality.fit(docs, labels)).collect()
