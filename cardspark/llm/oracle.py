@@ -206,6 +206,45 @@ SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM d LEFT JOIN per USING (doc_id)
 """
 
+def _codebook_round(before: str, after: str, book: str) -> str:
+    """SQL of one assignment (ties: lower entry) from codebook `before`; `book` names the next codebook."""
+    return f"""
+{after} AS (
+  SELECT rid, part, arg_min(entry, d * 65536 + entry) AS entry, min(d) AS d
+  FROM (SELECT c.rid, c.part, b.entry, sum((c.x - b.x) * (c.x - b.x)) AS d
+        FROM comp c JOIN {before} b USING (part, pos) GROUP BY ALL)
+  GROUP BY rid, part
+)""" + ("" if book is None else f""",
+{book} AS (
+  SELECT b.part, b.entry, b.pos, coalesce(n.x, b.x) AS x FROM {before} b LEFT JOIN (
+    SELECT a.part, a.entry, c.pos, floor(sum(c.x)::DOUBLE / count(*))::BIGINT AS x
+    FROM {after} a JOIN comp c USING (rid, part) GROUP BY ALL) n USING (part, entry, pos)
+)""")
+
+
+OP11 = rf"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label, embedding AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+comp AS (
+  SELECT rid, (i - 1) // (len(e) // 16) AS part, (i - 1) % (len(e) // 16) AS pos, floor(e[i]::DOUBLE * 256)::BIGINT AS x
+  FROM (SELECT rid, e, unnest(range(1, len(e) + 1)) AS i FROM kept)
+),
+b0 AS (SELECT part, rid - 1 AS entry, pos, x FROM comp WHERE rid <= 64),
+{_codebook_round("b0", "a1", "b1")},
+{_codebook_round("b1", "a2", "b2")},
+{_codebook_round("b2", "a3", None)},
+coded AS (
+  SELECT k.vec_id, k.label, string_agg(printf('%02x', a.entry), '' ORDER BY a.part) AS code, sum(a.d)::BIGINT AS error
+  FROM a3 a JOIN kept k USING (rid) GROUP BY k.rid, k.vec_id, k.label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) FROM b2) AS codebooks_sha256
+FROM coded
+"""
+
 ORACLES = {
     "op3_substring_dedup": OP3,
     "op5_benchmark_decontamination": OP5,
@@ -213,4 +252,5 @@ ORACLES = {
     "op7_minhash_near_dedup": OP7,
     "op8_document_fingerprints": OP8,
     "op9_suffix_array_dedup": OP9,
+    "op11_vector_codes": OP11,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.llm import decontamination, fingerprints, labelled, language_id, mixing, quality, toxicity, url_filter
+from cardspark.llm import vector_codes
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -81,6 +82,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Product code of every whole embedding: 16 parts, 64 entries a part, 2 rounds."""
+    return vector_codes.compress(table(spark, folder, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_toxicity": op2_toxicity,
@@ -92,4 +99,5 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
+    "op11_vector_codes": op11_vector_codes,
 }
