@@ -245,6 +245,49 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 FROM coded
 """
 
+def _audit_orders() -> str:
+    from cardspark.llm.filter_audit import orders
+
+    return ", ".join(f"('{o}', {s}, '{x}', {b}, {a})" for o, s, x, b, a in orders())
+
+
+OP12 = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+        min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+m AS (
+  SELECT doc_id, part,
+    (CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN doc_id IS NOT DISTINCT FROM first_id THEN 0 ELSE 16 END) AS f
+  FROM w
+),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+          max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+sv AS (
+  SELECT part, s, count(*) FILTER (WHERE f & s = 0) AS n_all,
+    count(*) FILTER (WHERE f & s = 0 AND good = 1) AS n_good, count(*) FILTER (WHERE f & s = 0 AND toxic = 1) AS n_toxic
+  FROM m LEFT JOIN lab USING (doc_id) CROSS JOIN range(32) r(s) GROUP BY part, s
+),
+o(filter_order, step, letter, before, after) AS (VALUES {_audit_orders()}),
+r AS (
+  SELECT b.part, o.filter_order, o.step, o.letter, a.n_all AS kept, b.n_all - a.n_all AS removed,
+    z.n_all - x.n_all - (b.n_all - a.n_all) AS redundant, u.n_all - f.n_all AS unique_fails,
+    b.n_good - a.n_good AS good_lost, b.n_toxic - a.n_toxic AS toxic_lost
+  FROM o JOIN sv b ON b.s = o.before
+  JOIN sv a ON a.part = b.part AND a.s = o.after
+  JOIN sv z ON z.part = b.part AND z.s = 0
+  JOIN sv x ON x.part = b.part AND x.s = o.after - o.before
+  JOIN sv u ON u.part = b.part AND u.s = 31 - (o.after - o.before)
+  JOIN sv f ON f.part = b.part AND f.s = 31
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM r
+"""
+
 ORACLES = {
     "op3_substring_dedup": OP3,
     "op5_benchmark_decontamination": OP5,
@@ -253,4 +296,5 @@ ORACLES = {
     "op8_document_fingerprints": OP8,
     "op9_suffix_array_dedup": OP9,
     "op11_vector_codes": OP11,
+    "op12_filter_audit": OP12,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.llm import decontamination, fingerprints, labelled, language_id, mixing, quality, toxicity, url_filter
-from cardspark.llm import vector_codes
+from cardspark.llm import filter_audit, vector_codes
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -88,6 +88,13 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents kept and removed by each step of every order of the five filters, per source."""
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost",
+        "shapley")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_toxicity": op2_toxicity,
@@ -100,4 +107,5 @@ QUERIES = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_language_id": op10_language_id,
     "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
 }
