@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.llm import decontamination, fingerprints, labelled, language_id, mixing, quality, toxicity, url_filter
-from cardspark.llm import filter_audit, vector_codes
+from cardspark.llm import filter_audit, packing, vector_codes
 from cardspark.llm import near_dedup as near
 from cardspark.llm import substring_dedup as substring
 from cardspark.llm import suffix_dedup as suffix
@@ -95,6 +95,11 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
         "shapley")
 
 
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of 4096 tokens at most."""
+    return packing.pack(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_toxicity": op2_toxicity,
@@ -108,4 +113,5 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_vector_codes": op11_vector_codes,
     "op12_filter_audit": op12_filter_audit,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
