@@ -43,6 +43,8 @@ PARTNERS = 64
 FIT_ROUNDS = 400
 #: ranks of one length that one window partition numbers
 BLOCK = 1 << 16
+#: characters of text encoded by one call of the tokenizer
+TEXT_CHARS = 1 << 21
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -50,6 +52,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def _tokenizer(name: str):
     import os
 
+    # one thread per task: the executor's cores are its tasks
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     if not os.path.isabs(name):
@@ -74,13 +78,24 @@ def piece_rows(doc_ids: list, texts: list, tokenizer: str = TOKENIZER, capacity:
 
 def pieces(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", tokenizer: str = TOKENIZER,
            capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece of every document; the token ids themselves stay in the task."""
+    """One row per piece of every document; the token ids themselves stay in the task.
+
+    Texts go to the tokenizer in runs of at most `TEXT_CHARS` characters (a
+    longer text alone), so a task holds the encodings of a few MB of text at a
+    time however long its Arrow batches are.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = piece_rows(frame["doc_id"].tolist(), frame["text"].tolist(), tokenizer, capacity)
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-                {"piece": "int32", "start": "int64", "length": "int64", "ids_crc32": "int64"})
+            ids, texts = frame["doc_id"].tolist(), frame["text"].tolist()
+            sizes = np.cumsum([0 if t is None else len(t) for t in texts])
+            i = 0
+            while i < len(texts):
+                j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + TEXT_CHARS, side="right")))
+                rows = piece_rows(ids[i:j], texts[i:j], tokenizer, capacity)
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
+                    {"piece": "int32", "start": "int64", "length": "int64", "ids_crc32": "int64"})
+                i = j
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, PIECES)
 
