@@ -22,16 +22,22 @@ the rows.
 from __future__ import annotations
 
 import bisect
+import itertools
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardspark.operators.numbering import number_rows
+from cardspark.session import written
 
 CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +51,8 @@ FIT_ROUNDS = 400
 BLOCK = 1 << 16
 #: characters of text encoded by one call of the tokenizer
 TEXT_CHARS = 1 << 21
+#: distinct new pre-tokens given to the tokenizer in one call
+WORDS_PER_CALL = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -63,13 +71,71 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(name)
 
 
+#: the word tokenizer's split of normalized text into pre-tokens
+EXACT_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+@cache
+def _splitter() -> regex.Pattern:
+    return regex.compile(EXACT_SPLIT)
+
+
+class PieceIds:
+    """Token ids of texts for a tokenizer that encodes each pre-token alone (normalize, split, BPE per word).
+
+    Ids of a distinct pre-token are asked of the tokenizer once per task, many
+    at a time, and kept; a text's ids are then one gather of the kept ids. The
+    result equals encoding the whole text (tested on the test tables).
+    """
+
+    def __init__(self, tokenizer: str):
+        self.tokenizer = _tokenizer(tokenizer)
+        self.split = _splitter()
+        self.index: dict[str, int] = {}
+        self.pool = np.zeros(0, dtype=np.uint32)
+        self.starts = np.zeros(1, dtype=np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.asarray(found.ids, dtype=np.uint32)
+        owner = np.asarray([w for w in found.word_ids], dtype=np.int64)
+        counts = np.bincount(owner, minlength=len(words)) if len(owner) else np.zeros(len(words), dtype=np.int64)
+        base = len(self.index)
+        for k, w in enumerate(words):
+            self.index[w] = base + k
+        self.pool = np.concatenate([self.pool, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+
+    def ids(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, offsets): ids of text i are ids[offsets[i]:offsets[i + 1]]."""
+        # per character, as the tokenizer lowercases: no final-sigma rule
+        words = [self.split.findall(unicodedata.normalize("NFC", t or "").replace("Σ", "σ").lower()) for t in texts]
+        flat = pa.array(itertools.chain.from_iterable(words), type=pa.string())
+        coded = pc.dictionary_encode(flat).combine_chunks() if isinstance(flat, pa.ChunkedArray) else pc.dictionary_encode(flat)
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.index]
+        for i in range(0, len(new), WORDS_PER_CALL):
+            self._learn(new[i:i + WORDS_PER_CALL])
+        which = np.asarray([self.index[w] for w in distinct], dtype=np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        lengths = self.starts[which + 1] - self.starts[which]
+        ends = np.cumsum(lengths)
+        gather = np.repeat(self.starts[which] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        per_text = np.asarray([len(ws) for ws in words], dtype=np.int64)
+        word_end = np.concatenate([[0], ends])[np.cumsum(per_text)]
+        return self.pool[gather], np.concatenate([[0], word_end])
+
+
+@cache
+def _piece_ids(tokenizer: str) -> PieceIds:
+    return PieceIds(tokenizer)
+
+
 def piece_rows(doc_ids: list, texts: list, tokenizer: str = TOKENIZER, capacity: int = CAPACITY,
                end_id: int = END_ID) -> list[tuple]:
     """(doc_id, piece, start, length, ids_crc32) of the pieces of each text (null: empty), ids then `end_id`."""
-    encoded = _tokenizer(tokenizer).encode_batch(["" if t is None else t for t in texts], add_special_tokens=False)
+    flat, offsets = _piece_ids(tokenizer).ids(texts)
+    end = np.asarray([end_id], dtype="<u4")
     out = []
-    for doc_id, enc in zip(doc_ids, encoded):
-        ids = np.asarray(enc.ids + [end_id], dtype="<u4")
+    for n, doc_id in enumerate(doc_ids):
+        ids = np.concatenate([flat[offsets[n]:offsets[n + 1]].astype("<u4"), end])
         for k, start in enumerate(range(0, len(ids), capacity)):
             chunk = ids[start:start + capacity]
             out.append((doc_id, k, start, len(chunk), zlib.crc32(chunk.tobytes())))
@@ -226,7 +292,8 @@ def pack(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", tokeni
     null; repeated rows are packed as separate documents. Empty table: no rows.
     """
     spark = docs.sparkSession
-    cut = number_rows(pieces(docs, text_col, id_col, tokenizer, capacity),
+    # written once: the range sort of the numbering samples its input, which would tokenize everything twice
+    cut = number_rows(written(pieces(docs, text_col, id_col, tokenizer, capacity), "pieces"),
                       ["length", "doc_id", "piece", "ids_crc32", "start"], "__n", after=-1)
     hist = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     groups = plan(hist, capacity)

@@ -83,3 +83,14 @@ def test_plan_holds_every_piece_once(seed):
 
 def test_empty_table(session):
     assert packing.pack(session.createDataFrame([], DOCS)).count() == 0
+
+
+def test_piece_ids_equal_the_tokenizer_on_any_text():
+    rng = random.Random(4)
+    alphabet = "aZ0 _-'sΣσİıǅ²½Ⅻ\t\n\x1c 　漢é́ﬁ.,!?"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 80))) for _ in range(400)]
+    texts += ["ΣΑΣ don't 'S", None, ""]
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    flat, offsets = packing.PieceIds("word_bpe_49k.json").ids(texts)
+    for k, t in enumerate(texts):
+        assert flat[offsets[k]:offsets[k + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids, repr(t)
