@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from cardspark.functions.text import normalize_phone, person_key
 from cardspark.functions.values import matches
 from cardspark.operators.clean import IdentityRules, eligible_cards, normalize_identity, quality_flags
 from cardspark.operators.components import components
-from cardspark.operators.lookup import HOT_ROWS, lookup, match
+from cardspark.operators.lookup import HOT_ROWS, lookup, match, small
 from cardspark.operators.numbering import number_rows
+from cardspark.session import written
 
 CARD = "CardHolderID"
 BASE = [CARD, "NoMobile", "Email", "FirstName", "LastName", "BirthDate", "PostCode", "Address1", "Address2",
@@ -126,27 +128,101 @@ def resolve_users(base: DataFrame, last_id: int = 0, hot_rows: int = HOT_ROWS) -
     return lookup(rooted, ids, ["__root"], "__n", hot_rows).select(*CONTACT, "USER_ID")
 
 
+#: (key, flag that must be 1 for the key to link) of the three kinds of shared keys
+KEYS = (("NoMobile", None), ("Email", "GoodEmail"), ("combinaison", "GoodCombinaison"))
+
+
+def _usable(key: str, good: str | None) -> Column:
+    ok = F.col(key).isNotNull()
+    if good is not None:
+        ok &= F.col(good) == 1
+    if key == "Email":
+        ok &= F.col(key) != ""
+    return ok
+
+
+def _keys_of(rows: DataFrame, value: str) -> DataFrame:
+    """(kind, key, value) for every usable key of the rows."""
+    parts = [rows.filter(_usable(key, good)).select(F.lit(key).alias("kind"), F.col(key).cast("string").alias("key"),
+                                                    F.col(value)) for key, good in KEYS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def key_index(users: DataFrame) -> DataFrame:
+    """(kind, key, USER_ID): the user ids that resolved contacts give each usable key.
+
+    Built once from a resolution and kept beside it; a later incremental run
+    joins only the new contacts' keys against it.
+    """
+    rows = users.filter(F.col("NoMobile").isNotNull()).select(*CONTACT, F.col("USER_ID").cast("long").alias("USER_ID"))
+    return _keys_of(rows, "USER_ID").distinct()
+
+
 def resolve_incremental(
-    known: DataFrame, new: DataFrame, last_id: int | None = None, hot_rows: int = HOT_ROWS
+    known: DataFrame, new: DataFrame, last_id: int | None = None, hot_rows: int = HOT_ROWS,
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """USER_ID of known and new contacts together.
+    """USER_ID of known and new contacts together, by components of the touched graph only.
 
     A component that touches known ids takes the smallest of them; the others
     are numbered after `last_id`. `new` may carry the id its card had before.
+
+    Nodes are the new contacts, numbered after every known id, and the known
+    user ids themselves. Edges: new contacts that share a key, a new contact
+    and each id its keys have in `index` (see `key_index`, built from `known`
+    when not given), and two ids that one known key carries. The smallest
+    node of a component is then its smallest known id, or its first new
+    contact; a former id carried by a new contact lowers its component's id
+    like a known one. Known contacts are not re-linked: an id map (merged id
+    -> final id) is applied to them, broadcast when its counted rows stay
+    under the limit of `small`. Equal to a run over all contacts when `known`
+    is a resolution (each id one component of its keys).
     """
     if "USER_ID" not in new.columns:
         new = new.withColumn("USER_ID", F.lit(None).cast("long"))
     last_id = max_id(known, "USER_ID") if last_id is None else last_id
-    wanted = [*CONTACT, F.col("USER_ID").cast("long").alias("USER_ID")]
-    everyone = known.select(*wanted).unionByName(new.select(*wanted)).filter(F.col("NoMobile").isNotNull())
-    contacts = everyone.groupBy(*CONTACT).agg(F.min("USER_ID").alias("__known"))
-    rooted = _components(contacts, hot_rows)
-    per_root = rooted.groupBy("__root").agg(F.min("__known").alias("__known"), F.count("*").alias("__n"))
-    fresh = dense_ids(per_root.filter(F.col("__known").isNull()).select("__root", "__n"), last_id)
-    ids = fresh.unionByName(
-        per_root.filter(F.col("__known").isNotNull()).select("__root", "__n", F.col("__known").alias("USER_ID"))
-    )
-    return lookup(rooted, ids, ["__root"], "__n", hot_rows).select(*CONTACT, "USER_ID")
+    old = known.filter(F.col("NoMobile").isNotNull()).select(*CONTACT, F.col("USER_ID").cast("long").alias("USER_ID"))
+    fresh = new.filter(F.col("NoMobile").isNotNull()).groupBy(*CONTACT).agg(F.min(F.col("USER_ID").cast("long")).alias("__hint"))
+    index = key_index(old) if index is None else index
+    top = max(last_id, max_id(old, "USER_ID"), max_id(fresh, "__hint"))
+    rows = number_rows(fresh, CONTACT, "__row", after=top)
+    total = rows.count()
+    if total == 0:
+        return old
+    keys = _keys_of(rows, "__row")
+    found = index.join(small(keys), ["kind", "key"]).select(F.col("__row").alias("hi"), F.col("USER_ID").alias("lo"))
+    among = (_links(rows, "NoMobile", None, hot_rows, total)
+             .unionByName(_links(rows, "Email", "GoodEmail", hot_rows, total))
+             .unionByName(_links(rows, "combinaison", "GoodCombinaison", hot_rows, total)))
+    # a key that known contacts gave two ids joins them (only a known side that was not one resolution has such keys)
+    shared = index.join(small(keys.select("kind", "key").distinct()), ["kind", "key"], "left_semi")
+    low = shared.groupBy("kind", "key").agg(F.min("USER_ID").alias("lo"))
+    twins = shared.join(low, ["kind", "key"]).filter(F.col("USER_ID") > F.col("lo")).select(
+        F.col("USER_ID").alias("hi"), "lo")
+    roots = written(components(found.unionByName(among).unionByName(twins), hot_rows), "roots")
+    rooted = rows.join(roots.withColumnRenamed("node", "__row"), "__row", "left").withColumn(
+        "__root", F.coalesce("component", "__row"))
+    # a former id counts like a known id of the component, without linking it to that id's other contacts
+    per_root = written(rooted.groupBy("__root").agg(F.count("*").alias("__n"), F.min("__hint").alias("__hint")).select(
+        "__root", "__n", F.least(F.when(F.col("__root") <= top, F.col("__root")), F.col("__hint")).alias("__final")),
+        "roots")
+    numbered = dense_ids(per_root.filter(F.col("__final").isNull()).select("__root", "__n"), last_id).unionByName(
+        per_root.filter(F.col("__final").isNotNull()).select("__root", "__n", F.col("__final").alias("USER_ID")))
+    named = lookup(rooted, numbered, ["__root"], "__n", hot_rows).select(*CONTACT, "USER_ID")
+    finals = per_root.filter(F.col("__final").isNotNull()).select("__root", "__final")
+    merged = roots.filter(F.col("node") <= top).join(finals, F.col("component") == F.col("__root")).select(
+        F.col("node").alias("USER_ID"), F.col("__final").alias("__to"))
+    lowered = finals.filter((F.col("__root") <= top) & (F.col("__final") < F.col("__root"))).select(
+        F.col("__root").alias("USER_ID"), F.col("__final").alias("__to"))
+    moves = merged.unionByName(lowered).filter(F.col("__to") != F.col("USER_ID"))
+    moved = old.join(small(moves), "USER_ID", "left").select(*CONTACT, F.coalesce("__to", "USER_ID").alias("USER_ID"))
+    # a new contact equal to a known one is already among the known rows, with the same id
+    # (known rows equal to a new one number at most the new rows, so both joins can broadcast)
+    tagged = [F.col(c).alias("__t_" + c) for c in CONTACT]
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col("__t_" + c)) for c in CONTACT])
+    seen = old.join(small(rows.select(*tagged)), same, "left_semi").select(*tagged)
+    added = named.join(small(seen), same, "left_anti")
+    return moved.unionByName(added.select(*CONTACT, "USER_ID"))
 
 
 def cards_to_resolve(

@@ -154,3 +154,96 @@ def test_cards_to_resolve(spark):
     log = spark.createDataFrame([("2", "m", "e", T(2024, 3, 1), 0, 1, 0, 0), ("3", "m", "e", T(2024, 2, 20), 0, 1, 0, 0), ("1", "m", "e", T(2024, 3, 1), 0, 0, 0, 0),
                                  ("4", "m", "e", T(2024, 3, 1), 1, 0, 0, 0)], flags)
     assert values(idn.cards_to_resolve(cards, master, log, T(2024, 3, 2, 9)), "CardHolderID") == [("2",), ("4",)]
+
+
+CONTACTS = "NoMobile string, Email string, combinaison string, GoodEmail int, GoodCombinaison int, USER_ID long"
+
+
+def plain_incremental(known, new, last_id):
+    """Union-find over all contacts: the smallest known id of a component, else numbers after last_id by first contact."""
+    ids = {}
+    for *c, u in known + new:
+        k = tuple(c)
+        ids[k] = u if ids.get(k) is None else (ids[k] if u is None else min(ids[k], u))
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k in ids:
+        m, e, p, ge, gc = k
+        for key in [("m", m)] + ([("e", e)] if ge == 1 and e else []) + ([("p", p)] if gc == 1 and p is not None else []):
+            root[find(("c", k))] = find(key)
+    comps = {}
+    for k in ids:
+        comps.setdefault(find(("c", k)), []).append(k)
+    out, fresh = {}, []
+    for members in comps.values():
+        known_ids = [ids[k] for k in members if ids[k] is not None]
+        if known_ids:
+            out.update({k: min(known_ids) for k in members})
+        else:
+            fresh.append(members)
+    for n, members in enumerate(sorted(fresh, key=min), start=last_id + 1):
+        out.update({k: n for k in members})
+    return sorted((*k, u) for k, u in out.items())
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.select(*idn.CONTACT, "USER_ID").collect()]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_incremental_equals_a_full_run(spark, seed):
+    rows = crowd(150, seed)
+    cut = random.Random(seed).randrange(20, 130)
+    known = written(idn.resolve_users(base(spark, *rows[:cut])), "test")
+    new = idn.contacts_of(base(spark, *rows[cut - 10:]))  # ten contacts arrive again
+    got = sorted(rows_of(idn.resolve_incremental(known, new)))
+    top = max(u for *_, u in rows_of(known))
+    assert got == plain_incremental(rows_of(known), [(*r, None) for r in values(new, *idn.CONTACT)], top)
+
+
+def test_incremental_merges_ids_hints_and_conflicting_known_keys(spark):
+    known = [("m1", "e1", "p1", 1, 1, 4), ("m2", "e2", "p2", 1, 1, 2), ("m3", "e3", "p3", 1, 1, 7),
+             ("m4", "e3", "p4", 1, 1, 9), ("m5", "", "p5", 1, 0, 3)]  # e3 carries two ids: 7 and 9 merge
+    new = [("m6", "e1", "p9", 1, 1, None), ("m7", "x", "p2", 0, 1, None),  # bridge: m6 -> 4 by e1, m7 -> 2 by p2
+           ("m8", "e8", "q", 1, 1, None), ("m8", "e9", "q", 1, 1, None),  # two new contacts of one new user
+           ("m6", "e7", "p7", 1, 0, None), ("m9", "", "p5", 1, 1, 3),      # hint joins m9 to 3
+           ("m1", "e1", "p1", 1, 1, None), ("m7", "", "zz", 1, 1, 4),     # a known contact again; a hint in 2's component
+           ("m10", "e3", "r", 1, 0, None)]                                 # touches e3, which carries 7 and 9
+    k, n = spark.createDataFrame(known, CONTACTS), spark.createDataFrame(new, CONTACTS)
+    got = sorted(rows_of(idn.resolve_incremental(k, n)))
+    assert got == plain_incremental(known, new, 9)
+    assert {u for *c, u in got if c[0] in ("m2", "m7")} == {2} and {u for *c, u in got if c[0] in ("m1", "m6")} == {4}
+    assert {u for *c, u in got if c[0] in ("m3", "m4")} == {7}
+
+
+def test_incremental_does_not_shuffle_known_contacts(spark, tmp_path):
+    rows = crowd(200, 9)
+    path = str(tmp_path / "known")
+    idn.resolve_users(base(spark, *rows[:150])).write.parquet(path)
+    known = spark.read.parquet(path)
+    index = written(idn.key_index(known), "test")
+    out = idn.resolve_incremental(known, idn.contacts_of(base(spark, *rows[150:])), index=index)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan()
+
+    def scans_below(node, inside):
+        name = node.nodeName()
+        below = inside or "Exchange" in name
+        found = []
+        if "Scan" in name and below and path in node.toString():
+            found.append(name)
+        kids = [node.plan()] if name.endswith("QueryStage") else []
+        kids += [node.children().apply(i) for i in range(node.children().size())]
+        if name.startswith("AdaptiveSparkPlan"):
+            kids = [node.executedPlan()]
+        for kid in kids:
+            found += scans_below(kid, below)
+        return found
+
+    assert scans_below(plan, False) == []
