@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -73,9 +74,19 @@ def _tokenizer(name: str):
 
 #: the word tokenizer's split of normalized text into pre-tokens
 EXACT_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+#: the same split for a text of ASCII characters alone, after lower-casing (letters a-z, digits, the six ASCII White_Space)
+ASCII_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t\n\x0b\x0c\r a-z0-9]+"
+
+
 @cache
-def _splitter() -> regex.Pattern:
-    return regex.compile(EXACT_SPLIT)
+def _splitter() -> tuple[regex.Pattern, re.Pattern]:
+    return regex.compile(EXACT_SPLIT), re.compile(ASCII_SPLIT)
+
+
+def _split(text: str | None, exact: regex.Pattern, ascii_only: re.Pattern) -> list[str]:
+    # per character, as the tokenizer lowercases: no final-sigma rule
+    t = unicodedata.normalize("NFC", text or "").replace("Σ", "σ").lower()
+    return (ascii_only if t.isascii() else exact).findall(t)
 
 
 class PieceIds:
@@ -106,8 +117,7 @@ class PieceIds:
 
     def ids(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets): ids of text i are ids[offsets[i]:offsets[i + 1]]."""
-        # per character, as the tokenizer lowercases: no final-sigma rule
-        words = [self.split.findall(unicodedata.normalize("NFC", t or "").replace("Σ", "σ").lower()) for t in texts]
+        words = [_split(t, *self.split) for t in texts]
         flat = pa.array(itertools.chain.from_iterable(words), type=pa.string())
         coded = pc.dictionary_encode(flat).combine_chunks() if isinstance(flat, pa.ChunkedArray) else pc.dictionary_encode(flat)
         distinct = coded.dictionary.to_pylist()
