@@ -261,3 +261,14 @@ def test_top_merchants_breaks_ties_by_name(spark):
     members = spark.createDataFrame([("1", 3), ("2", 4)], "CardHolderID string, ClusterID int")
     got = merchants.top_merchants(pos, members, 3, "2017-08-01", k=2).collect()
     assert [tuple(r) for r in got] == [("c", 2), ("a", 1)]
+
+
+def test_top_features_are_the_head_of_all_importances(spark):
+    from cardspark.operators import clusters
+
+    rows = [(float(i % 7), float(i % 3), float(i % 2), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    forest = clusters.explain_clusters(df, ["a", "b", "c"], "label")
+    every = [tuple(r) for r in clusters.feature_importance(spark, forest, ["a", "b", "c"]).collect()]
+    top = [tuple(r) for r in clusters.feature_importance(spark, forest, ["a", "b", "c"], top=2).collect()]
+    assert len(every) == 3 and top == every[:2] and every[0][0] == "c"

@@ -565,6 +565,17 @@ def _(spark, d):
         F.max(F.col("FeatureImportance") > 0).alias("some_above_0"))
 
 
+@query("feature_importance_top")
+def _(spark, d):
+    """TOP-2: the ten columns that explain the labels most, with their importances (a forest: no SQL)."""
+    data = _embedded(spark, d).join(
+        spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").cast("string").alias("CardHolderID"), "label"),
+        "CardHolderID",
+    )
+    forest = clusters.explain_clusters(data, _COLUMNS, "label")
+    return clusters.feature_importance(spark, forest, _COLUMNS, top=10)
+
+
 @query("top_merchants")
 def _(spark, d):
     members = cards(spark, d).select(
