@@ -68,17 +68,23 @@ def refresh_snapshot(df: DataFrame, name: str, root: str) -> None:
 
     The new rows go to a fresh folder below `root`; then the table is pointed at
     it. Readers see the old snapshot until that step, and a failed write leaves
-    it in place.
+    it in place. When the columns or their types differ from the table's, the
+    table is defined again over the new folder, so added, removed and retyped
+    columns all follow `df` (the old folder stays, like every earlier version).
     """
     spark = df.sparkSession
     _schema_of(spark, name)
     folder = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
     df.write.format("parquet").save(folder)
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
     if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=folder, source="parquet")
+        before = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+        if before == [(f.name, f.dataType) for f in spark.read.parquet(folder).schema.fields]:
+            spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {quoted}")  # an external table: its files stay
+    spark.catalog.createTable(name, path=folder, source="parquet")
 
 
 def append_day(target: DataFrame | None, batch: DataFrame, day: dt.date | str | None = None,

@@ -229,3 +229,19 @@ def test_read_table_by_name_or_query(spark, house):
     house.replace("s", spark.createDataFrame([(1,), (2,)], "id int"))
     assert landing.read_table(spark, house.name("s")).count() == 2
     assert landing.read_table(spark, f"SELECT id FROM {house.name('s')} WHERE id > 1").count() == 1
+
+
+def test_snapshot_follows_added_removed_and_retyped_columns(spark, tmp_path):
+    import uuid
+
+    from cardspark.sinks import tables
+
+    name = "snap_" + uuid.uuid4().hex
+    root = str(tmp_path / "snap")
+    tables.refresh_snapshot(spark.createDataFrame([(1, "a")], "id long, c1 string"), name, root)
+    tables.refresh_snapshot(spark.createDataFrame([(2, "b")], "id long, c2 string"), name, root)
+    assert spark.table(name).columns == ["id", "c2"] and [tuple(r) for r in spark.table(name).collect()] == [(2, "b")]
+    tables.refresh_snapshot(spark.createDataFrame([(3, 4)], "id string, c2 int"), name, root)
+    assert str(spark.table(name).schema.simpleString()) == "struct<id:string,c2:int>"
+    tables.refresh_snapshot(spark.createDataFrame([("5", 6)], "id string, c2 int"), name, root)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("5", 6)]
