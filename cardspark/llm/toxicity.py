@@ -21,7 +21,7 @@ is the share of toxic ones among the examples without a term.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -95,18 +95,25 @@ class Vocabulary:
 class Lists:
     """Posting lists: long ones as rows of weights with block maxima, the others as (example, weight)."""
 
-    def __init__(self, n_terms: int, n_examples: int, at: np.ndarray, of: np.ndarray, weights: np.ndarray):
+    def __init__(self, length: np.ndarray, n_examples: int, examples: Iterable[tuple[np.ndarray, np.ndarray]]):
+        """`length`: number of examples with each term; `examples`: (distinct terms, weights) of each.
+
+        A posting is put straight into its place, since sorting them takes many times their size on the driver.
+        """
         self.size = -(-n_examples // BLOCK) * BLOCK
-        order = np.lexsort((of, at))
-        at, of, weights = at[order], of[order], weights[order].astype(np.float32)
-        length = np.bincount(at, minlength=n_terms)
         longest = np.argsort(-length, kind="stable")[:LONG_LISTS]
         longest = longest[length[longest] > n_examples // LONG]  # the most frequent term first
-        self.row = np.full(n_terms, -1, np.int32)
+        self.row = np.full(len(length), -1, np.int32)
         self.row[longest] = np.arange(len(longest))
         self.n_long = len(longest)
-        self.first = np.searchsorted(at, np.arange(n_terms + 1))
-        self.example, self.weight = of.astype(np.uint16 if self.size < 1 << 16 else np.int32), weights
+        self.first = np.append(0, np.cumsum(length))
+        self.example = np.empty(self.first[-1], np.uint16 if self.size < 1 << 16 else np.int32)
+        self.weight = np.empty(self.first[-1], np.float32)
+        free = self.first[:-1].copy()
+        for example, (at, weights) in enumerate(examples):
+            to = free[at]
+            self.example[to], self.weight[to] = example, weights
+            free[at] += 1
 
     def __getstate__(self) -> dict:
         """Without the rows, which each worker lays out itself."""
@@ -149,23 +156,22 @@ class Index:
     """Posting lists of the examples, with their block maxima."""
 
     def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple], beyond: float = 0.0):
-        """`rows`: (id, label, term indexes, counts) of each example; `beyond`: idf of terms of no example."""
+        """`rows`: (id, label, distinct term indexes, counts) of each example; `beyond`: idf of terms of no example."""
         self.vocabulary, self.idf, self.beyond = Vocabulary(vocabulary), idf, beyond
         bare = [r[1] for r in rows if not len(r[2])]
         self.share = (sum(r[1] for r in rows) + 1) / (len(rows) + 2)
         self.bare = (sum(bare) + self.share) / (len(bare) + 1)
         rows = [r for r in rows if len(r[2])]
-        every = np.concatenate([np.zeros(0, np.int64), *[np.asarray(r[2], np.int64) for r in rows]])
+        length = np.zeros(len(vocabulary), np.int64)
+        for r in rows:
+            length[r[2]] += 1
         rank = np.empty(len(vocabulary), np.int64)
-        rank[np.argsort(-np.bincount(every, minlength=len(vocabulary)), kind="stable")] = np.arange(len(vocabulary))
+        rank[np.argsort(-length, kind="stable")] = np.arange(len(vocabulary))
         # like examples into the same blocks: by their most frequent terms
-        rows = sorted(rows, key=lambda r: (np.sort(rank[np.asarray(r[2], np.int64)])[:16].tolist(), str(r[0])))
+        rows = sorted(rows, key=lambda r: (np.sort(rank[r[2]])[:16].tolist(), str(r[0])))
         self.ids = [r[0] for r in rows]
         self.labels = np.array([r[1] for r in rows], np.float64)
-        weights = [self.weights(np.asarray(r[2], np.int64), np.asarray(r[3])) for r in rows]
-        at = np.concatenate([np.zeros(0, np.int64), *[np.asarray(r[2], np.int64) for r in rows]])
-        self.postings = Lists(len(vocabulary), len(rows), at, np.repeat(np.arange(len(rows)), [len(w) for w in weights]),
-                              np.concatenate([np.zeros(0), *weights]))
+        self.postings = Lists(length, len(rows), ((r[2], self.weights(r[2], r[3])) for r in rows))
 
     def weights(self, at: np.ndarray, counts: np.ndarray, beyond: float = 0.0) -> np.ndarray:
         """Weights of a text's terms; `beyond`: squared frequency weights of its terms of no example."""
@@ -269,6 +275,18 @@ def leaning(positive: np.ndarray, negative: np.ndarray, positives: int, negative
     return np.where((z >= Z) & (positive >= 3), LEAN, 1.0)
 
 
+def example_rows(counted: pa.Table) -> list[tuple]:
+    """(row, label, at, count) of each example, the arrays as views of the table."""
+    out = []
+    for part in counted.to_batches():
+        at, counts = (part.column(c).flatten().to_numpy() for c in ("at", "count"))
+        sizes = pc.list_value_length(part.column("at")).to_numpy()
+        ends = np.cumsum(sizes)
+        out += [(i, c, at[b - s : b], counts[b - s : b]) for i, c, b, s in zip(
+            part.column("row").to_pylist(), part.column("label").to_pylist(), ends.tolist(), sizes.tolist(), strict=True)]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", id_col: str = "doc_id",
         examples: int = EXAMPLES) -> Index:
     """Index of the labelled texts; without labelled texts every score is one half."""
@@ -283,13 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
     frequency, n = document_frequency(docs, words, text_col) if len(words) else (np.zeros(0), 0)
     idf = np.log((n + 1) / (frequency + 1)) + 1
     counted = labelled.example_counts(rows, words, t.word_terms).toArrow()
-    at, counts = (np.concatenate([np.zeros(0, np.int32), *[x.flatten().to_numpy() for x in counted.column(c).chunks]])
-                  for c in ("at", "count"))
-    sizes = pc.list_value_length(counted.column("at")).to_numpy()
-    ends = np.cumsum(sizes)
-    ids, classes = counted.column("row").to_pylist(), counted.column("label").to_pylist()
-    return Index(words, idf * lean, [(i, c, at[b - s : b], counts[b - s : b]) for i, c, b, s in
-                              zip(ids, classes, ends.tolist(), sizes.tolist(), strict=True)], np.log((n + 1) / 2) + 1)
+    return Index(words, idf * lean, example_rows(counted), np.log((n + 1) / 2) + 1)
 
 
 def toxicity(docs: DataFrame, index: Index, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -128,6 +128,42 @@ def test_nearest_examples_are_exact(session, corpus):
         assert np.allclose(np.sort(sims)[::-1], want, rtol=1e-5) and np.allclose(every[found], sims, rtol=1e-5)
 
 
+def test_index_takes_little_more_memory_than_its_lists():
+    """The driver builds the index of all examples, so no array beside the lists may hold every posting."""
+    import tracemalloc
+
+    import numpy as np
+    rng = np.random.default_rng(4)
+    vocabulary = np.sort(rng.integers(0, 1 << 62, 20_000, np.uint64))
+    rows = [(i, i % 2, rng.choice(20_000, 800, replace=False).astype(np.int32), rng.integers(1, 5, 800, np.int32))
+            for i in range(2000)]
+    tracemalloc.start()
+    try:
+        index = toxicity.Index(vocabulary, rng.random(20_000) + 1, rows)
+        lists = index.postings.example.nbytes + index.postings.weight.nbytes
+        assert len(index.postings.weight) == 2000 * 800
+        assert tracemalloc.get_traced_memory()[1] < 2.5 * lists + (20 << 20)  # and what finds the terms by their bits
+    finally:
+        tracemalloc.stop()
+    terms = np.arange(0, 20_000, 50)
+    dense = index.postings[terms]
+    place = {i: e for e, i in enumerate(index.ids)}
+    for i, _, at, counts in rows[::100]:
+        want = np.zeros(20_000, np.float32)
+        want[at] = index.weights(at, counts)
+        assert np.array_equal(dense[:, place[i]], want[terms])
+
+
+def test_example_rows_of_several_batches():
+    import pyarrow as pa
+    kind = pa.schema([("row", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32())), ("count", pa.list_(pa.int32()))])
+    rows = [(4, 1, [2, 5], [1, 3]), (5, 0, [], []), (6, None, [0], [2]), (7, 1, [], []), (8, 0, [1, 2, 3], [4, 4, 1])]
+    whole = pa.Table.from_pylist([dict(zip(kind.names, r, strict=True)) for r in rows], kind)
+    table = pa.concat_tables([whole.slice(0, 0), whole.slice(1, 3), whole.slice(0, 1), whole.slice(4)])
+    found = [(i, c, at.tolist(), counts.tolist()) for i, c, at, counts in toxicity.example_rows(table)]
+    assert found == [*rows[1:4], rows[0], rows[4]] and toxicity.example_rows(whole.slice(0, 0)) == []
+
+
 def test_every_term_is_indexed(session):
     """Copies of toxic examples whose words no other example has; one listed word in a long clean text."""
     rng = random.Random(8)
